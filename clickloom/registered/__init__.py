@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +16,13 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     from clickloom.registered.sql import sql
 
     def add(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            # Time texts carry UTC offsets and are shown in UTC.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = sql(oracle)
         return fn

@@ -14,30 +14,14 @@ from clickloom.streaming import clicks as click_stream
 from clickloom.streaming import landing
 
 
-def _write_arrays(df, path):
-    """Rows as JSON-array files: each task writes the rows of a small batch as one array per file line."""
-    packed = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
-
-    def run(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            yield pd.DataFrame({"value": ["[" + ",\n".join(pdf["j"]) + "]"]})
-
-    # One array per file: the multi-line reader takes a whole file as one value.
-    rows = packed.mapInPandas(run, "value string")
-    rows.repartition(max(1, rows.count())).write.mode("overwrite").option("maxRecordsPerFile", 1).format("text").save(path)
-
-
 @query(
     "scan_json",
     """SELECT user_id, article_id, category, action, "timestamp", session_id FROM rawlogs""",
 )
 def scan_json(spark, sf):
     path = work_path(spark, "logs-json")
-    raw = tables.raw_logs(spark, sf).select(*USER_LOG.names)
-    raw.write.mode("overwrite").json(path)
-    return spark.read.schema(USER_LOG).json(path)
+    writers.write_json_arrays(tables.raw_logs(spark, sf).select(*USER_LOG.names), path)
+    return readers.read_json_arrays(spark, path, USER_LOG, "*.txt")
 
 
 @query(
@@ -79,8 +63,8 @@ _COLUMNS = "article_id, url, title, abstract, content, category, source, pub_dat
 def stream_landing(spark, sf):
     root = work_path(spark, "landing")
     source = f"{root}/incoming"
-    tables.live_articles(spark, sf).repartition(4).write.mode("overwrite").option("ignoreNullFields", False).json(source)
-    landing.land_articles(spark, source, root, files_per_batch=2)
+    writers.write_json_arrays(tables.live_articles(spark, sf).repartition(4), source)
+    landing.land_articles(spark, source, root, files_per_batch=2, pattern="*.txt")
     return landing.landed_articles(spark, root)
 
 

@@ -38,7 +38,7 @@ def interactions(spark: SparkSession, sf: str) -> DataFrame:
             F.col("o_custkey").cast("string").alias("user_id"),
             F.col("l_partkey").cast("string").alias("article_id"),
             _category(F.col("p_type")).alias("category"),
-            F.col("l_shipdate").alias("timestamp"),
+            F.col("l_shipdate").cast("timestamp").alias("timestamp"),
             F.when(F.col("l_linestatus") == "F", IMPRESSION_CLICK).otherwise(LOG_CLICK).alias("source"),
         )
     )
@@ -154,7 +154,7 @@ def document_clicks(spark: SparkSession, sf: str) -> DataFrame:
     return (
         table(spark, sf, "events")
         .where(F.col("event_type") == "click")
-        .select(F.col("user_id").cast("string").alias("user_id"), _k().cast("string").alias("article_id"), "event_id", "ts")
+        .select(F.col("user_id").cast("string").alias("user_id"), _k().cast("string").alias("article_id"), "event_id", F.col("ts").cast("timestamp").alias("ts"))
     )
 
 

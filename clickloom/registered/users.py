@@ -232,7 +232,7 @@ def click_validation(spark, sf):
 
 
 PROFILE_SQL = f"""SELECT user_id, category, clicks, top_category, total_clicks, recent_clicks, strftime(last_updated, {_SQL_TIME}) AS last_updated FROM (
- SELECT user_id, category, clicks, sum(clicks) OVER (PARTITION BY user_id) AS total_clicks, max(last_ts) OVER (PARTITION BY user_id) AS last_updated,
+ SELECT user_id, category, clicks, CAST(sum(clicks) OVER (PARTITION BY user_id) AS BIGINT) AS total_clicks, max(last_ts) OVER (PARTITION BY user_id) AS last_updated,
   first_value(category) OVER (PARTITION BY user_id ORDER BY clicks DESC, CASE category WHEN 'business' THEN 1 WHEN 'entertainment' THEN 2 WHEN 'technology' THEN 3 WHEN 'health' THEN 4 WHEN 'science' THEN 5 ELSE 6 END, category) AS top_category
  FROM (SELECT user_id, category, CAST(sum(clicks) AS BIGINT) AS clicks, max(last_ts) AS last_ts FROM (
    SELECT user_id, category, count(*) AS clicks, max(ts) AS last_ts FROM dclicks c JOIN {_KNOWN} k ON k.article_id = c.article_id GROUP BY ALL

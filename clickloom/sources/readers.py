@@ -10,7 +10,7 @@ from clickloom.schemas import empty_table
 _CORRUPT = "_corrupt_record"
 
 
-def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.json") -> DataFrame:
     """Files holding a JSON array of records. Other files and unreadable payloads are ignored."""
     full = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
     rows = (
@@ -18,7 +18,7 @@ def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> Da
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .json(path)
     )
     return rows.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)

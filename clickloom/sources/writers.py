@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -17,6 +20,18 @@ def write_summary(summary: DataFrame, path: str) -> None:
     summary.coalesce(1).write.mode("overwrite").json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """Text files that each hold one JSON array of at most one Arrow batch of records."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                yield pd.DataFrame({"value": ["[" + ",\n".join(pdf["j"]) + "]"]})
+
+    arrays = df.select(F.to_json(F.struct(*df.columns)).alias("j")).mapInPandas(run, "value string")
+    arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
 def save_model(root: str, model_type: str, version: str, tables: dict[str, DataFrame]) -> str:
     """Write a model's tables below ``root/models/<type>/<version>``."""
     base = f"{root}/models/{model_type}/{version}"

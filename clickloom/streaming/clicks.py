@@ -97,6 +97,7 @@ def fold_clicks(
     stream = (
         spark.readStream.schema(CLICK)
         .option("pathGlobFilter", "*.json")
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]")
         .option("maxFilesPerTrigger", files_per_batch)
         .json(source)
     )

@@ -16,8 +16,10 @@ def tag_landed(df: DataFrame, category: str | None = None) -> DataFrame:
     return df if category is None else df.withColumn("category", F.coalesce("category", F.lit(category)))
 
 
-def land_articles(spark: SparkSession, source: str, root: str, files_per_batch: int = 1000) -> None:
-    """Process every new file below ``source`` and stop.
+def land_articles(
+    spark: SparkSession, source: str, root: str, files_per_batch: int = 1000, pattern: str = "*.json"
+) -> None:
+    """Process every new file of JSON records below ``source`` and stop.
 
     Each micro-batch writes its newest versions below its own number; a repeated batch replaces
     its own output, so a restart neither loses nor doubles rows.
@@ -25,7 +27,7 @@ def land_articles(spark: SparkSession, source: str, root: str, files_per_batch:
     stream = (
         spark.readStream.schema(LIVE_ARTICLE)
         .option("multiLine", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(source)
     )
