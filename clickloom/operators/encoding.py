@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from clickloom.functions.collections import rounded
 from clickloom.functions.ids import embedding_article_id
@@ -45,7 +46,11 @@ class HashingEncoder:
 
 
 def encode(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = HashingEncoder, batch: int = BATCH) -> DataFrame:
-    """Add ``embedding``: one encoder per task, texts in batches."""
+    """Add ``embedding``: one encoder per task, texts in batches.
+
+    Rows are spread evenly first, because encoding costs far more than moving a text.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keep = [f for f in df.schema.fields if f.name != text]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,10 +62,8 @@ def encode(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = Hashi
                 vectors.extend(np.asarray(encoder(texts[start : start + batch]), dtype="float64"))
             yield pdf.assign(embedding=vectors)
 
-    from pyspark.sql import types as T
-
     schema = T.StructType(keep + [T.StructField("embedding", T.ArrayType(T.DoubleType()))])
-    return df.mapInPandas(run, schema)
+    return df.select(*[f.name for f in keep], text).repartition(parts, *[f.name for f in keep]).mapInPandas(run, schema)
 
 
 def with_embedding_ids(articles: DataFrame) -> DataFrame:

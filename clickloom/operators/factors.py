@@ -68,7 +68,8 @@ def _whiten(gram: np.ndarray) -> np.ndarray:
 
 def _multiply(pairs: DataFrame, vectors: DataFrame, left: str, right: str, width: int) -> DataFrame:
     """``right``-keyed block = matrix (or its transpose) times the ``left``-keyed block."""
-    joined = pairs.join(vectors, left)
+    # The block has one row per key, so hashing it needs no sort and cannot be skewed.
+    joined = pairs.join(vectors.hint("shuffle_hash"), left)
     sums = [F.sum(F.col("weight") * F.col(n)).alias(n) for n in _names(width)]
     return materialise(joined.groupBy(right).agg(*sums))
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from clickloom.operators.ordering import global_index, top_n
+from clickloom.session import materialise
 
 MAX_K = 20
 _LEVELS = 20
@@ -24,13 +25,6 @@ def exclude_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
     return candidates.join(seen, ["user_id", "article_id"], "left_anti")
 
 
-def _first_prefix(k: Column, first: int) -> Column:
-    """Shortest prefix first * 4^j of the popularity list that leaves ``k`` items unblocked."""
-    sizes = [first * 4**j for j in range(_LEVELS)]
-    fits = [F.when(F.lit(s) - F.coalesce(F.col(f"_c{j}"), F.lit(0)) >= k, F.lit(s)) for j, s in enumerate(sizes)]
-    return F.coalesce(*fits).cast("bigint")
-
-
 def fill_with_popular(
     users: DataFrame, own: DataFrame | None, seen: DataFrame, popularity: DataFrame, max_k: int = MAX_K
 ) -> DataFrame:
@@ -39,62 +33,74 @@ def fill_with_popular(
     ``users`` holds ``user_id, k`` with ``k <= max_k``; ``own`` holds scored candidates, one row per
     user and article; ``seen`` holds ``user_id, article_id`` pairs. Lists hold unseen, distinct items.
 
-    Popular items a user still needs lie in a short prefix of the ranking. How long it must be follows
-    from how many of the user's blocked items fall below a few fixed ranks, so nobody is paired with
-    the whole ranking: the work is linear in users and blocked pairs.
+    Nearly every user finds enough items in the first ``2 * max_k`` ranks. That short prefix is broadcast,
+    so the pairs a user has seen are filtered where they lie and never meet the whole ranking. Users who
+    have seen most of the prefix are served from longer prefixes afterwards.
     """
     first = 2 * max_k
-    seen = seen.select("user_id", "article_id").distinct()
+    seen = seen.select("user_id", "article_id")
     if own is None:
-        chosen = None
-        blocked = seen
+        chosen, blocked = None, seen
         base = users.withColumn("_have", F.lit(0).cast("bigint"))
     else:
         fresh = exclude_seen(own.select("user_id", "article_id", "score"), seen)
         order = [F.round("score", 9).desc(), F.col("article_id")]
-        ranked = top_n(fresh, ["user_id"], order, max_k)
-        chosen = ranked.join(users, "user_id").where(F.col("rank") <= F.col("k")).select("user_id", "article_id", "rank")
+        ranked = top_n(fresh, ["user_id"], order, max_k).join(users, "user_id").where(F.col("rank") <= F.col("k"))
+        chosen = materialise(ranked.select("user_id", "article_id", "rank"))
         blocked = seen.unionByName(chosen.select("user_id", "article_id"))
         held = chosen.groupBy("user_id").agg(F.count(F.lit(1)).alias("_have"))
         base = users.join(held, "user_id", "left").fillna(0, subset=["_have"])
 
-    short = base.where(F.col("_have") < F.col("k")).withColumn("_need", F.col("k") - F.col("_have"))
     ranks = popularity.select("article_id", F.col("pop_rank").cast("bigint").alias("pop_rank"))
-    hits = blocked.join(ranks, "article_id").select("user_id", "pop_rank")
-    # Two-phase counts per user; the collected set holds at most `first` small ranks.
-    per_user = hits.groupBy("user_id").agg(
-        *[F.count(F.when(F.col("pop_rank") <= first * 4**j, 1)).alias(f"_c{j}") for j in range(_LEVELS)],
-        F.collect_set(F.when(F.col("pop_rank") <= first, F.col("pop_rank"))).alias("_low"),
-    )
-    sized = short.join(per_user, "user_id", "left").select(
-        "user_id", "_have", "_need", "_low", _first_prefix(F.col("_need"), first).alias("_prefix")
-    )
-
-    # Users served by the shortest prefix (at most `first` rows, so it is broadcast).
-    prefix = F.broadcast(ranks.where(F.col("pop_rank") <= first))
+    prefix = F.broadcast(ranks.where(F.col("pop_rank") <= first))  # at most `first` rows
+    taken = blocked.join(prefix, "article_id").groupBy("user_id").agg(F.collect_set("pop_rank").alias("_taken"))
     every = F.sequence(F.lit(1).cast("bigint"), F.lit(first).cast("bigint"))
-    free = F.array_except(every, F.coalesce("_low", F.array().cast("array<bigint>")))
-    near = (
-        sized.where(F.col("_prefix") == first)
-        .select("user_id", "_have", F.posexplode(F.slice(free, F.lit(1), F.col("_need").cast("int"))).alias("_at", "pop_rank"))
+    need = (F.col("k") - F.col("_have")).cast("int")
+    short = materialise(
+        base.where(F.col("_have") < F.col("k"))
+        .join(taken, "user_id", "left")
+        .select("user_id", "_have", need.alias("_need"), F.array_except(every, F.coalesce("_taken", F.array().cast("array<bigint>"))).alias("_free"))
+    )
+    filled = (
+        short.where(F.size("_free") >= F.col("_need"))
+        .select("user_id", "_have", F.posexplode(F.slice("_free", F.lit(1), F.col("_need"))).alias("_at", "pop_rank"))
         .join(prefix, "pop_rank")
         .select("user_id", "article_id", (F.col("_have") + F.col("_at") + 1).alias("rank"))
     )
-
-    # Users who block most of the head of the ranking: their prefix is at most 4 * (k + blocked) long.
-    spans = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_prefix") - 1) / _SPAN)))
-    far = sized.where(F.col("_prefix") > first).select("user_id", "_have", "_need", "_prefix", spans.alias("_s"))
-    upto = F.least(F.col("_prefix"), (F.col("_s") + 1) * _SPAN)
-    far = far.select("user_id", "_have", "_need", F.explode(F.sequence(F.col("_s") * _SPAN + 1, upto)).alias("pop_rank"))
-    far = far.join(hits, ["user_id", "pop_rank"], "left_anti").join(ranks, "pop_rank")
-    far = top_n(far, ["user_id"], [F.col("pop_rank")], max_k, "_at").where(F.col("_at") <= F.col("_need"))
-    far = far.select("user_id", "article_id", (F.col("_have") + F.col("_at")).alias("rank"))
-
-    filled = near.unionByName(far).withColumn("tier", F.lit(2))
+    rest = short.where(F.size("_free") < F.col("_need")).drop("_free")
+    if not rest.isEmpty():
+        filled = filled.unionByName(_fill_from_longer(rest, blocked, ranks, first, max_k))
+    filled = filled.withColumn("tier", F.lit(2))
     if chosen is not None:
         filled = chosen.withColumn("tier", F.lit(1)).unionByName(filled)
     return filled.withColumn("rank", F.col("rank").cast("int"))
 
 
+def _fill_from_longer(rest: DataFrame, blocked: DataFrame, ranks: DataFrame, first: int, max_k: int) -> DataFrame:
+    """Popular items of users whose blocked items cover most of the head of the ranking.
+
+    Counting a user's blocked items below a few fixed ranks tells which prefix, first * 4^j long, leaves
+    enough items. A prefix is at most four times as long as the user's own blocked list allows, so the
+    rows made here are linear in what these users have seen.
+    """
+    sizes = [first * 4**j for j in range(1, _LEVELS)]
+    hits = blocked.join(rest.select("user_id"), "user_id", "left_semi").distinct().join(ranks, "article_id")
+    counts = hits.groupBy("user_id").agg(*[F.count(F.when(F.col("pop_rank") <= s, 1)).alias(f"_c{s}") for s in sizes])
+    fits = [F.when(F.lit(s) - F.col(f"_c{s}") >= F.col("_need"), F.lit(s).cast("bigint")) for s in sizes]
+    sized = rest.join(counts, "user_id").withColumn("_prefix", F.coalesce(*fits))
+    # Two explodes, because one array of a very long prefix would not fit a row.
+    spans = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_prefix") - 1) / _SPAN)))
+    sized = sized.select("user_id", "_have", "_need", "_prefix", spans.alias("_s"))
+    upto = F.least(F.col("_prefix"), (F.col("_s") + 1) * _SPAN)
+    steps = F.explode(F.sequence(F.col("_s") * _SPAN + 1, upto)).alias("pop_rank")
+    open_ranks = sized.select("user_id", "_have", "_need", steps).join(
+        hits.select("user_id", "pop_rank"), ["user_id", "pop_rank"], "left_anti"
+    )
+    best = top_n(open_ranks.join(ranks, "pop_rank"), ["user_id"], [F.col("pop_rank")], max_k, "_at")
+    return best.where(F.col("_at") <= F.col("_need")).select(
+        "user_id", "article_id", (F.col("_have") + F.col("_at")).alias("rank")
+    )
+
+
 def recommend_popular(users: DataFrame, seen: DataFrame, popularity: DataFrame, max_k: int = MAX_K) -> DataFrame:
     return fill_with_popular(users, None, seen, popularity, max_k)

@@ -31,13 +31,11 @@ def union_clicks(logs: DataFrame, behaviours: DataFrame) -> DataFrame:
 
 def category_counts(clicks: DataFrame, categories: list[str] = CATEGORIES) -> DataFrame:
     """One count column per listed category; other categories are left out."""
+    name = F.lower("category")
     return (
-        clicks.withColumn("category", F.lower("category"))
-        .where(F.col("category").isin(categories))
+        clicks.where(name.isin(categories))
         .groupBy("user_id")
-        .pivot("category", categories)
-        .count()
-        .fillna(0, subset=categories)
+        .agg(*[F.count(F.when(name == c, 1)).alias(c) for c in categories])
     )
 
 

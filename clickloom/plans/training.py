@@ -15,7 +15,7 @@ from clickloom.operators.ordering import sample_exact, split_exact
 from clickloom.operators.popularity import fill_with_popular, popularity_ranking
 from clickloom.operators.recommend import neighbours_for, recommend_from_neighbours, seed_items
 from clickloom.operators.dedup import distinct_on
-from clickloom.operators.terms import packed_rows, tfidf
+from clickloom.operators.terms import tfidf_rows
 from clickloom.schemas import FACTOR_MODEL, POPULARITY_MODEL, TEXT_MODEL, require_rows
 from clickloom.session import materialise
 from clickloom.sources.writers import append_run, promote, save_model
@@ -44,7 +44,7 @@ def evaluation_users(test: DataFrame, limit: int = MAX_EVAL_USERS, seed: int = 4
 
 def text_rows(articles: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
     texts = drop_blank(model_text(distinct_on(articles, ["article_id"])), "text")
-    return packed_rows(tfidf(texts.select("article_id", "text"), stop_words))
+    return tfidf_rows(texts.select("article_id", "text"), stop_words)[0]
 
 
 def train_all(

@@ -53,7 +53,7 @@ def tfidf(spark, sf):
 
 
 def _packed_documents(spark, sf):
-    return terms.packed_rows(terms.tfidf(tables.document_texts(spark, sf)))
+    return terms.tfidf_rows(tables.document_texts(spark, sf))[0]
 
 
 @query("text_knn", f"SELECT seed_id, article_id, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM ({term_neighbours('dterms')})")
