@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -86,15 +87,22 @@ def counts_map(names: list[str]) -> Column:
     return F.create_map(*[c for n in names for c in (F.lit(n), F.col(n).cast("bigint"))])
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once, also where ``body`` uses it per element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def scaled(v: Column) -> Column:
+    """``v`` scaled to length one; a zero vector stays zero."""
+    return bind(norm(v), lambda n: F.when(n > 0, F.transform(v, lambda x: x / n)).otherwise(v))
+
+
 def norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
 
 
 def unit(v: Column) -> Column:
-    """``v`` scaled to length one; a zero vector stays zero."""
-    d = v.cast("array<double>")
-    n = norm(d)
-    return F.when(n > 0, F.transform(d, lambda x: x / n)).otherwise(d)
+    return scaled(v.cast("array<double>"))
 
 
 def cosine(a: Column, b: Column) -> Column:
