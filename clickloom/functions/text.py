@@ -7,9 +7,13 @@ from pyspark.sql import Column, functions as F
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
+# The characters that count as whitespace in Unicode text.
+WHITESPACE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
     """Remove whitespace of every kind from both ends (``trim`` removes spaces only)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def text_or(c: Column, default: str = "") -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from clickloom.functions.collections import rounded
 from clickloom.functions.ids import embedding_article_id
 from clickloom.operators.cleaning import column_or_blank, drop_blank, embedding_text
+from clickloom.session import spread
 
 BATCH = 64
 Encoder = Callable[[list[str]], np.ndarray]
@@ -50,7 +51,6 @@ def encode(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = Hashi
 
     Rows are spread evenly first, because encoding costs far more than moving a text.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keep = [f for f in df.schema.fields if f.name != text]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,7 +63,8 @@ def encode(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = Hashi
             yield pdf.assign(embedding=vectors)
 
     schema = T.StructType(keep + [T.StructField("embedding", T.ArrayType(T.DoubleType()))])
-    return df.select(*[f.name for f in keep], text).repartition(parts, *[f.name for f in keep]).mapInPandas(run, schema)
+    names = [f.name for f in keep]
+    return spread(df.select(*names, text), *names).mapInPandas(run, schema)
 
 
 def with_embedding_ids(articles: DataFrame) -> DataFrame:

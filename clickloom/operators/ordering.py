@@ -39,10 +39,12 @@ def global_index(df: DataFrame, order: list[Column], name: str = "index", start:
         total += row["n"]
     if not offsets:
         return placed.withColumn(name, F.lit(start).cast("bigint"))
-    table = F.create_map(*[F.lit(x).cast("bigint") for kv in offsets.items() for x in kv])
+    last = max(offsets)
+    text = ",".join(str(offsets.get(pid, 0)) for pid in range(last + 1))
+    table = F.split(F.lit(text), ",").cast("array<bigint>")  # one literal, however many partitions
     # The low 33 bits of monotonically_increasing_id count rows inside the partition.
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn(name, F.element_at(table, F.spark_partition_id().cast("bigint")) + within)
+    return placed.withColumn(name, F.get(table, F.spark_partition_id()) + within)
 
 
 def seeded_hash(seed: int, *keys: Column) -> Column:
@@ -61,29 +63,37 @@ def split_by_hash(df: DataFrame, keys: list[Column], test_share: float = 0.2, se
     return df.withColumn("is_test", F.substring(seeded_hash(seed, *keys), 1, 8) < F.lit(limit))
 
 
+def _hash_below(df: DataFrame, wanted: int, digits: int = 4, few: int = 100_000) -> str:
+    """The ``wanted``-th smallest value of the hash column ``_h``.
+
+    A histogram over a few hex digits (at most 65,536 rows) finds the bucket the value falls in; the
+    search goes on inside that bucket until it is small enough to sort.
+    """
+    prefix, left, rows = "", wanted, df.select("_h")
+    while True:
+        at = len(prefix) + 1
+        sizes = rows.groupBy(F.substring("_h", at, digits).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        through = F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        edge = sizes.withColumn("t", through).where(F.col("t") >= left).orderBy("b").first()
+        left -= edge["t"] - edge["n"]
+        prefix += edge["b"]
+        rows = rows.where(F.col("_h").startswith(prefix))
+        if edge["n"] <= few or len(prefix) >= 64:
+            return rows.orderBy("_h").limit(left).agg(F.max("_h")).first()[0]
+
+
 def split_exact(df: DataFrame, keys: list[Column], test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``is_test`` to exactly ``ceil(share * n)`` rows: those with the smallest hashes.
 
-    A histogram over the first four hex digits (at most 65,536 buckets) finds the one bucket the
-    boundary falls in; only that bucket's rows are ranked. ``keys`` must identify a row.
+    ``keys`` must identify a row. The rows themselves are not moved: each compares its hash with one
+    threshold. ``df`` is read a few times to find it, so pass a written table.
     """
-    hashed = df.withColumn("_h", seeded_hash(seed, *keys)).withColumn("_b", F.substring("_h", 1, 4))
-    sizes = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    run = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy()
-    marks = sizes.select(
-        "_b",
-        (F.sum("_n").over(run) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(run).alias("_through"),
-        F.ceil(F.sum("_n").over(whole) * F.lit(test_share)).alias("_want"),
-    )
-    # marks has at most 65,536 short rows.
-    placed = hashed.join(F.broadcast(marks), "_b")
-    at_edge = (F.col("_before") < F.col("_want")) & (F.col("_through") > F.col("_want"))
-    clear = placed.where(~at_edge).withColumn("is_test", F.col("_through") <= F.col("_want"))
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys))
-    edge = placed.where(at_edge).withColumn("is_test", F.col("_before") + rank <= F.col("_want"))
-    return clear.unionByName(edge).drop("_h", "_b", "_before", "_through", "_want")
+    h = seeded_hash(seed, *keys)
+    wanted = math.ceil(df.count() * test_share)
+    if wanted == 0:
+        return df.withColumn("is_test", F.lit(False))
+    limit = _hash_below(df.select(h.alias("_h")), wanted)
+    return df.withColumn("is_test", h <= F.lit(limit))
 
 
 def ideal_gains(k: int) -> list[float]:

@@ -10,6 +10,7 @@ from clickloom.plans.training import split_interactions
 from clickloom.registered import query, tables
 
 from clickloom.schemas import CATEGORIES, IMPRESSION_CLICK, LOG_CLICK
+from clickloom.session import materialise
 
 _TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _SQL_TIME = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -150,7 +151,7 @@ def pair_weights(spark, sf):
     f"""SELECT user_id, article_id, strftime("timestamp", {_SQL_TIME}) AS "timestamp", source, is_test FROM hsplit""",
 )
 def train_test_split(spark, sf):
-    rows = tables.distinct_interactions(spark, sf)
+    rows = materialise(tables.distinct_interactions(spark, sf))
     keys = [F.col(c) for c in ("user_id", "article_id", "timestamp", "source")]
     return ordering.split_exact(rows, keys).withColumn("timestamp", F.date_format("timestamp", _TIME))
 
