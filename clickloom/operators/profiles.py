@@ -13,8 +13,6 @@ from clickloom.functions.collections import no_strings, top_key
 from clickloom.operators.ordering import top_n
 
 CLICK_CAP = 20
-RECENT_PART = "user_id string, article_id string, ts timestamp, event_id bigint"
-COUNT_PART = "user_id string, category string, clicks bigint, last_ts timestamp"
 
 
 def validate_clicks(clicks: DataFrame, articles: DataFrame) -> tuple[DataFrame, DataFrame]:

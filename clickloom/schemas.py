@@ -49,6 +49,14 @@ CLICK = T.StructType(
     _strings("user_id", "article_id").fields
     + [T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType())]
 )
+RECENT_PART = T.StructType(
+    _strings("user_id", "article_id").fields
+    + [T.StructField("ts", T.TimestampType()), T.StructField("event_id", T.LongType())]
+)
+COUNT_PART = T.StructType(
+    _strings("user_id", "category").fields
+    + [T.StructField("clicks", T.LongType()), T.StructField("last_ts", T.TimestampType())]
+)
 INTERACTION = T.StructType(
     _strings("user_id", "article_id").fields
     + [

@@ -44,6 +44,32 @@ def read_existing_tsv(spark: SparkSession, paths: list[str], schema: T.StructTyp
     return df.select(*columns)
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the ``v=<number>`` folders below ``path``, ascending."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("v="))
+
+
+def read_since(
+    spark: SparkSession, base: str, batches: str, schema: T.StructType, version: int | None, upto: int | None = None
+) -> DataFrame:
+    """Base version ``version`` (if any) and every later batch up to ``upto``."""
+    rows = empty_table(spark, schema)
+    if version is not None:
+        rows = rows.unionByName(spark.read.schema(schema).parquet(f"{base}/v={version}"))
+    if path_exists(spark, batches):
+        full = T.StructType(schema.fields + [T.StructField("batch", T.IntegerType())])
+        new = spark.read.schema(full).parquet(batches)
+        if version is not None:
+            new = new.where(F.col("batch") > version)
+        if upto is not None:
+            new = new.where(F.col("batch") <= upto)
+        rows = rows.unionByName(new.drop("batch"))
+    return rows
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

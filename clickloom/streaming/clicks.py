@@ -11,8 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.operators.profiles import (
-    COUNT_PART,
-    RECENT_PART,
     assemble,
     count_part,
     merge_counts,
@@ -20,19 +18,12 @@ from clickloom.operators.profiles import (
     recent_part,
     validate_clicks,
 )
-from clickloom.schemas import CLICK
-from clickloom.sources.readers import path_exists
+from clickloom.schemas import CLICK, COUNT_PART, RECENT_PART
+from clickloom.sources.readers import read_since, versions
 
 _FIRST = -1
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("v="))
-
-
 def _store_base(root: str, version: int, recents: DataFrame, counts: DataFrame) -> None:
     """Counts go last: readers look for the newest counts version."""
     recents.write.mode("overwrite").parquet(f"{root}/base_recents/v={version}")
@@ -45,27 +36,13 @@ def start_from(profiles: DataFrame, root: str) -> None:
     _store_base(root, _FIRST, recents, counts)
 
 
-def _parts(spark: SparkSession, root: str, kind: str, schema: str, version: int | None, upto: int | None) -> DataFrame:
-    names = [f.split()[0] for f in schema.split(", ")]
-    rows = spark.createDataFrame([], schema)
-    if version is not None:
-        rows = rows.unionByName(spark.read.schema(schema).parquet(f"{root}/base_{kind}/v={version}").select(*names))
-    if path_exists(spark, f"{root}/{kind}"):
-        new = spark.read.schema(schema + ", batch int").parquet(f"{root}/{kind}")
-        new = new.where(F.col("batch") > (version if version is not None else _FIRST))
-        if upto is not None:
-            new = new.where(F.col("batch") <= upto)
-        rows = rows.unionByName(new.select(*names))
-    return rows
-
-
 def state_parts(spark: SparkSession, root: str, upto: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Recent-click and count parts: the newest base version and every later batch."""
-    done = [v for v in _versions(spark, f"{root}/base_counts") if upto is None or v <= upto]
+    done = [v for v in versions(spark, f"{root}/base_counts") if upto is None or v <= upto]
     version = done[-1] if done else None
-    return (
-        _parts(spark, root, "recents", RECENT_PART, version, upto),
-        _parts(spark, root, "counts", COUNT_PART, version, upto),
+    return tuple(
+        read_since(spark, f"{root}/base_{kind}", f"{root}/{kind}", schema, version, upto)
+        for kind, schema in (("recents", RECENT_PART), ("counts", COUNT_PART))
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickloom.operators.cleaning import flatten_source, standardise_live
 from clickloom.operators.dedup import latest_articles
 from clickloom.schemas import ARTICLE, LIVE_ARTICLE
+from clickloom.sources.readers import read_since, versions
 
 
 def tag_landed(df: DataFrame, category: str | None = None) -> DataFrame:
@@ -45,6 +46,14 @@ def land_articles(
     )
 
 
-def landed_articles(spark: SparkSession, root: str) -> DataFrame:
-    """Newest version of every landed article."""
-    return latest_articles(spark.read.schema(ARTICLE).parquet(f"{root}/articles").select(*ARTICLE.names))
+def landed_articles(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """Newest version of every landed article: the newest base and every later batch."""
+    done = [v for v in versions(spark, f"{root}/base") if upto is None or v <= upto]
+    return latest_articles(
+        read_since(spark, f"{root}/base", f"{root}/articles", ARTICLE, done[-1] if done else None, upto)
+    )
+
+
+def compact_landed(spark: SparkSession, root: str, upto: int) -> None:
+    """Fold batches up to ``upto`` into a new base version. Older files stay until someone removes them."""
+    landed_articles(spark, root, upto).write.mode("overwrite").parquet(f"{root}/base/v={upto}")

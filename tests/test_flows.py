@@ -58,6 +58,7 @@ def test_landing_keeps_newest_over_several_runs(spark, tmp_path):
     landing.land_articles(spark, source, root)
     put(source, "2.json", [{"url": "http://a", "title": "new", "fetched_at": "2"}, {"url": "http://c", "title": "c"}])
     landing.land_articles(spark, source, root)
+    landing.compact_landed(spark, root, 0)
     landing.land_articles(spark, source, root)
     got = {r["title"]: r["fetched_at"] for r in landing.landed_articles(spark, root).collect()}
     assert set(got) == {"new", "b", "c"} and got["c"].startswith("20")
