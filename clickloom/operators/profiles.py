@@ -15,6 +15,13 @@ from clickloom.operators.ordering import top_n
 CLICK_CAP = 20
 
 
+def parse_clicks(df: DataFrame, body: str = "body") -> DataFrame:
+    """Click records from JSON request bodies; bodies without user or article drop out."""
+    fields = F.from_json(F.col(body), "user_id string, article_id string")
+    rows = df.withColumn("_b", fields).select(*[c for c in df.columns if c != body], "_b.user_id", "_b.article_id")
+    return rows.na.drop(subset=["user_id", "article_id"])
+
+
 def validate_clicks(clicks: DataFrame, articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clicks on known articles with their category, and the rejected rest with an error text."""
     facts = articles.select("article_id", F.coalesce(F.col("category"), F.lit("unknown")).alias("category"))

@@ -8,7 +8,7 @@ from clickloom.operators.cleaning import clean_logs, flatten_source, standardise
 from clickloom.operators.dedup import first_by_id, latest_across_sources, latest_articles
 from clickloom.operators.impressions import explode_impressions
 from clickloom.operators.interactions import id_mapping, translate_ids
-from clickloom.operators.vectors import user_vectors, union_clicks
+from clickloom.operators.vectors import merge_recents, profile_items, raw_log_recents, union_clicks, user_vectors
 from clickloom.sources.writers import overwrite
 
 
@@ -40,3 +40,8 @@ def run_etl(live: DataFrame, catalogue: DataFrame, raw_logs: DataFrame, raw_beha
     logs = spark.read.parquet(f"{root}/users/logs")
     behaviours = spark.read.parquet(f"{root}/users/behaviors")
     overwrite(build_user_vectors(logs, behaviours), f"{root}/users/vectors")
+
+
+def build_profiles(vectors: DataFrame, raw_logs: DataFrame) -> DataFrame:
+    """Profile records from user vectors, with recent clicks taken from raw logs where there are any."""
+    return profile_items(merge_recents(vectors, raw_log_recents(raw_logs)))

@@ -24,6 +24,13 @@ def scan_json(spark, sf):
     return readers.read_json_arrays(spark, path, USER_LOG, "*.txt")
 
 
+@query("scan_json_lists", """SELECT user_id, article_id, action FROM rawlogs""")
+def scan_json_lists(spark, sf):
+    path = work_path(spark, "logs-lists")
+    writers.write_json_arrays(tables.raw_logs(spark, sf).select(*USER_LOG.names), path)
+    return readers.read_json_lists(spark, path, USER_LOG, "*.txt").select("user_id", "article_id", "action")
+
+
 @query(
     "scan_tsv",
     """SELECT 'mapping' AS part, news_id AS id, nullif(trim(coalesce(url, '')), '') AS value FROM cat
@@ -56,6 +63,27 @@ def sink_parquet(spark, sf):
     return spark.read.parquet(path).select(*rows.columns)
 
 
+@query(
+    "upsert_versions",
+    """SELECT c_custkey, c_name, balance, rejected FROM (SELECT c_custkey, c_name, c_acctbal + coalesce(o_totalprice, 0) AS balance,
+  row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM customer
+  LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON o_custkey = c_custkey) CROSS JOIN (SELECT count(*) AS rejected FROM orders WHERE o_orderstatus = 'P') WHERE rn = 1""",
+)
+def upsert_versions(spark, sf):
+    root = work_path(spark, "balances")
+    customers = tables.table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_acctbal").alias("balance"))
+    at = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
+    blank = customers.withColumns({"o_orderkey": F.lit(0).cast("bigint"), "o_orderdate": F.lit(None).cast("timestamp"), "o_orderstatus": F.lit("")})
+    orders = tables.table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    changes = orders.join(customers, "c_custkey").select(
+        "c_custkey", "c_name", (F.col("balance") + F.col("o_totalprice")).alias("balance"), "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"), "o_orderstatus"
+    )
+    valid = F.col("o_orderstatus") != "P"
+    writers.upsert_version(spark, root, blank, "c_custkey", at, valid)
+    _, rejected = writers.upsert_version(spark, root, changes, "c_custkey", at, valid)
+    return writers.read_items(spark, root).select("c_custkey", "c_name", "balance", F.lit(rejected).cast("bigint").alias("rejected"))
+
+
 _COLUMNS = "article_id, url, title, abstract, content, category, source, pub_date, fetched_at, data_source"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickloom.operators import cleaning, impressions, interactions as inter, ordering, profiles, reports, vectors
-from clickloom.plans.articles import build_articles
+from clickloom.plans.articles import build_articles, build_profiles
 from clickloom.plans.training import split_interactions
 from clickloom.registered import query, tables
 
@@ -221,6 +221,29 @@ def _known_articles(spark, sf):
 _KNOWN = "(SELECT CAST(d.doc_id AS VARCHAR) AS article_id, CASE WHEN source <> 'src3' THEN lang ELSE 'unknown' END AS category FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"
 
 
+@query(
+    "click_payloads",
+    """SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS article_id FROM events WHERE event_type IN ('click', 'view')""",
+)
+def click_payloads(spark, sf):
+    """Events as request bodies; some name no article and some are no JSON."""
+    kind = F.col("event_type")
+    full = F.to_json(F.struct("user_id", F.get_json_object("props", "$.k").alias("article_id"), "value"))
+    body = F.when(kind.isin("click", "view"), full).when(kind == "error", "{broken").otherwise(F.to_json(F.struct("user_id")))
+    return profiles.parse_clicks(tables.table(spark, sf, "events").select("event_id", body.alias("body")))
+
+
+@query(
+    "profiles_from_logs",
+    f"""SELECT user_id, total_clicks, coalesce(r.recent_clicks, v.recent_clicks) AS recent_clicks, top_category
+ FROM ({_vectors("allclicks", "CASE WHEN event_time LIKE '%M' THEN date_trunc('second', ts) ELSE ts END")}) v LEFT JOIN ({_recents("(SELECT * FROM rawlogs WHERE action = 'click' AND user_id IS NOT NULL)", '"timestamp"')}) r USING (user_id)""",
+)
+def profiles_from_logs(spark, sf):
+    made = vectors.user_vectors(vectors.union_clicks(*_etl_inputs(spark, sf)))
+    rows = build_profiles(made, tables.raw_logs(spark, sf))
+    return rows.select("user_id", "total_clicks", F.array_join("recent_clicks", ",").alias("recent_clicks"), "top_category")
+
+
 @query(
     "click_validation",
     f"""SELECT event_id, c.article_id, k.category, CASE WHEN k.article_id IS NULL THEN 'Article not found: ' || c.article_id END AS error

@@ -5,7 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from clickloom.operators.dedup import quarantine
+from clickloom.operators.ordering import top_n
+from clickloom.sources.readers import versions
 
 
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -20,6 +24,34 @@ def write_summary(summary: DataFrame, path: str) -> None:
     summary.coalesce(1).write.mode("overwrite").json(path)
 
 
+def upsert_version(
+    spark: SparkSession, root: str, changes: DataFrame, key: str, order: list[Column], valid: Column
+) -> tuple[int, int]:
+    """Write the next version of a keyed table: per key the last change wins.
+
+    Rows failing ``valid`` go to ``rejected`` and never stop the others. Returns rows written from
+    ``changes`` and rows rejected.
+    """
+    done = versions(spark, f"{root}/items")
+    number = done[-1] + 1 if done else 0
+    good, bad = quarantine(changes, valid)
+    overwrite(bad, f"{root}/rejected/v={number}")
+    last = top_n(good, [key], order, 1, "_rn").drop("_rn")
+    overwrite(last, f"{root}/changes/v={number}")
+    last = spark.read.schema(last.schema).parquet(f"{root}/changes/v={number}")
+    rows = last
+    if done:
+        old = spark.read.schema(last.schema).parquet(f"{root}/items/v={done[-1]}")
+        rows = last.unionByName(old.join(last.select(key), key, "left_anti"))
+    overwrite(rows, f"{root}/items/v={number}")
+    return last.count(), spark.read.schema(bad.schema).parquet(f"{root}/rejected/v={number}").count()
+
+
+def read_items(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version of a keyed table."""
+    return spark.read.parquet(f"{root}/items/v={versions(spark, f'{root}/items')[-1]}")
+
+
 def write_json_arrays(df: DataFrame, path: str) -> None:
     """Text files that each hold one JSON array of at most one Arrow batch of records."""
 

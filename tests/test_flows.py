@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.operators import interactions as inter, popularity, profiles, recommend
-from clickloom.plans import serving, training
+from clickloom.plans import embedding, serving, training
 from clickloom.schemas import POPULARITY_MODEL
 from clickloom.session import work_path
 from clickloom.sources import readers, writers
@@ -32,6 +32,37 @@ def test_json_reader_skips_foreign_and_broken_files(spark, tmp_path):
     assert sorted(r["user_id"] for r in got.collect()) == ["1", "2"] and got.columns == schemas.USER_LOG.names
 
 
+def test_payloads_that_are_no_list_are_ignored(spark, tmp_path):
+    put(str(tmp_path), "a.json", json.dumps([{"user_id": "1"}, None, {"user_id": "2"}], indent=2))
+    put(str(tmp_path), "b.json", {"user_id": "3"})
+    put(str(tmp_path), "c.json", "[broken")
+    put(str(tmp_path), "d.log", [{"user_id": "4"}])
+    got = readers.read_json_lists(spark, str(tmp_path), schemas.USER_LOG)
+    assert sorted(r["user_id"] for r in got.collect()) == ["1", "2"]
+
+
+def test_upsert_versions_count_good_and_bad_rows(spark, tmp_path):
+    schema = "k string, v int, at int"
+    order, valid = [F.col("at").desc()], F.col("v") >= 0
+    root = str(tmp_path)
+    first = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 1, 1), ("c", -1, 1), ("d", None, 1)], schema)
+    assert writers.upsert_version(spark, root, first, "k", order, valid) == (2, 2)
+    assert writers.upsert_version(spark, root, spark.createDataFrame([("b", 9, 1), ("e", 5, 1)], schema), "k", order, valid) == (2, 0)
+    assert {r["k"]: r["v"] for r in writers.read_items(spark, root).collect()} == {"a": 2, "b": 9, "e": 5}
+
+
+def test_embedding_records_from_an_article_table(spark):
+    articles = spark.createDataFrame(
+        [("1", "http://a", "A", "x", "s", "newsapi"), ("2", "http://a", "A", "y", "s", "newsapi"), ("3", "", "B", "", "s", "mind"), ("4", "", " ", "z", "s", "mind")],
+        "article_id string, url string, title string, abstract string, source string, data_source string",
+    )
+    got = {r["title"]: r for r in embedding.build_embedding_items(articles).collect()}
+    assert set(got) == {"A", "B"} and got["A"]["embedding_dim"] == 64 and len(got["B"]["article_id"]) == 64
+    assert embedding.build_embedding_items(articles, limit=1).count() == 1
+    with pytest.raises(schemas.EmptyTable):
+        embedding.build_embedding_items(articles.where("false"))
+
+
 def test_tsv_reader_quotes_and_blanks(spark, tmp_path):
     line = 'N1\tc\ts\t"t one"\t"a\tb"\t\tx\t\n'
     put(str(tmp_path), "news.tsv", line)
