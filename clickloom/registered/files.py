@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import popularity, recommend
 from clickloom.registered import query, tables, users
-from clickloom.registered.sql import fill, first_row
+from clickloom.registered.sql import fill
 from clickloom.schemas import BEHAVIOUR, CATALOGUE, POPULARITY_MODEL, USER_LOG
 from clickloom.session import work_path
 from clickloom.sources import readers, writers

@@ -63,9 +63,11 @@ def materialise(df: DataFrame) -> DataFrame:
 
 def spread(df: DataFrame, *keys: str, rows: int | None = None, rows_per_part: int = 20_000) -> DataFrame:
     """Spread rows by key before costly per-row work. The fixed number keeps small parts from being merged;
-    with ``rows`` given, the number grows with the table."""
+    with ``rows`` given, the number follows the size of the table."""
     spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    if rows is not None:
+    parts = spark.sparkContext.defaultParallelism
+    if rows is None:
+        parts = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    else:
         parts = max(parts, -(-rows // rows_per_part))
     return df.repartition(parts, *keys)

@@ -29,7 +29,7 @@ def read_json_lists(spark: SparkSession, path: str, schema: T.StructType, patter
     """Like ``read_json_arrays``, but a payload that is not a list is ignored as a whole (for small files)."""
     whole = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
     items = F.from_json("value", T.ArrayType(schema))
-    kept = whole.where(strip(F.col("value")).startswith("[")).select(F.explode(items).alias("r"))
+    kept = whole.where(F.substring(strip(F.col("value")), 1, 1) == "[").select(F.explode_outer(items).alias("r"))
     return kept.where(F.col("r").isNotNull()).select("r.*")
 
 

@@ -67,6 +67,12 @@ def test_far_clusters_are_skipped(spark, monkeypatch):
     assert sum(visited) < 600 * 20
 
 
+def test_blocks_grow_with_the_table():
+    small, large = neighbours._block_rows(10_000, 10_000, 2000, 8), neighbours._block_rows(10**8, 10**6, 512, 8000)
+    assert small == neighbours.MIN_ROWS and 10 * small < large <= neighbours.BLOCK_BYTES // 512
+    assert neighbours._block_rows(0, 0, 1, 8) == neighbours.MIN_ROWS
+
+
 def test_fewer_items_than_neighbours(spark):
     items = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [-1.0, 0.0]), ("z", [0.0, 0.0])], "article_id string, embedding array<double>")
     got = collected(neighbours.dense_neighbours(items))
