@@ -55,16 +55,16 @@ def train_all(
     mine = split.train.join(users.select("user_id"), "user_id", "left_semi")
     seen = materialise(seen_pairs(mine))
     truth = materialise(seen_pairs(split.test.join(users.select("user_id"), "user_id", "left_semi")))
-    ranking = materialise(popularity_ranking(split.train))
-    save_model(root, POPULARITY_MODEL, version, {"popularity": ranking})
-
-    factors = materialise(item_factors(pair_weights(split.train), components))
-    packed = materialise(text_rows(articles))
+    # Models are written once; evaluation reads the written tables.
+    path = save_model(root, POPULARITY_MODEL, version, {"popularity": popularity_ranking(split.train)})
+    ranking = spark.read.parquet(f"{path}/popularity")
     runs = [record(POPULARITY_MODEL, fill_with_popular(users, None, seen, ranking), truth, split, version)]
-    for model, known in ((FACTOR_MODEL, factors), (TEXT_MODEL, packed)):
-        save_model(root, model, version, {"popularity": ranking, "items": known})
-        seeds = materialise(seed_items(mine, known))
-        near = neighbours_for(model, known, seeds)
+    made = {FACTOR_MODEL: item_factors(pair_weights(split.train), components), TEXT_MODEL: text_rows(articles)}
+    for model, rows in made.items():
+        path = save_model(root, model, version, {"popularity": ranking, "items": rows})
+        items = spark.read.parquet(f"{path}/items")
+        seeds = materialise(seed_items(mine, items))
+        near = neighbours_for(model, items, seeds)
         runs.append(record(model, recommend_from_neighbours(users, seeds, near, seen, ranking), truth, split, version))
     table = reduce(DataFrame.unionByName, runs)
     append_run(table, root)
