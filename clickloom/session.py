@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: str | int = "*", app: str = "clickloom", partitions: int = 8) -> SparkSession:
@@ -71,3 +73,20 @@ def spread(df: DataFrame, *keys: str, rows: int | None = None, rows_per_part: in
     else:
         parts = max(parts, -(-rows // rows_per_part))
     return df.repartition(parts, *keys)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they can import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="clickloom-"), "clickloom.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

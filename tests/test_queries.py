@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from clickloom import registered  # noqa: E402
 from compare import difference, duck  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -18,7 +19,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registered.QUERIES))
 def test_query(spark, con, name):
     got = entry.queries()[name](spark, SF).toPandas()
     assert len(got) > 0
@@ -28,7 +29,7 @@ def test_query(spark, con, name):
 
 
 def test_only_the_factorisation_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"svd_item_factors"}
+    assert set(registered.QUERIES) - set(registered.ORACLES) == {"svd_item_factors"}
 
 
 def test_entry(spark):
