@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import bpe, chat, decontaminate, quality, tokens
+from clickloom.llm import bpe, chat, decontaminate, neardup, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,3 +116,8 @@ WHERE 10 * n_found >= 8 * n_shingles""",
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.judge_quality(table(spark, sf, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior", "votes")
+
+
+@query
+def op7_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
