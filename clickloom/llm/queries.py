@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import bpe, chat, decontaminate, neardup, quality, tokens
+from clickloom.llm import bpe, chat, decontaminate, neardup, quality, suffixes, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,3 +121,9 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op7_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    left = suffixes.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
