@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.llm.components import components
-from clickloom.llm.texts import SHINGLE_WORDS, add_columns, mix, pieces, shingle_names, strings
+from clickloom.llm.texts import PIECE_BYTES, SHINGLE_WORDS, add_columns, flat, mix, pieces, shingle_names
 from clickloom.session import materialise
 
 THRESHOLD = 0.8
@@ -141,13 +141,21 @@ def sign(df: DataFrame, text: str = "text", bands: Bands = BANDS, words: int = S
 
 def overlaps(a: pa.Array, b: pa.Array, words: int = SHINGLE_WORDS) -> np.ndarray:
     """Weighted Jaccard similarity of the shingle multisets of two columns of texts, row by row."""
+    size = flat(a)[0] + flat(b)[0]
+    out, first = [np.zeros(0)], 0
+    while first < len(a):
+        last = max(first + 1, int(np.searchsorted(size, size[first] + PIECE_BYTES, "right")) - 1)
+        out.append(_overlaps(a.slice(first, last - first), b.slice(first, last - first), words))
+        first = last
+    return np.concatenate(out)
+
+
+def _overlaps(a: pa.Array, b: pa.Array, words: int) -> np.ndarray:
     parts = []
     for column in (a, b):
-        found = [np.zeros((3, 0), np.uint64)]
-        for first, offsets, data in pieces(column):
-            text, name, count = bags(offsets, data, words)
-            found.append(np.stack([(text + first).astype(np.uint64), name, count.astype(np.uint64)]))
-        parts.append(np.concatenate(found, 1))
+        offsets, data = flat(column)
+        text, name, count = bags(offsets - offsets[0], data[offsets[0] : offsets[-1]], words)
+        parts.append(np.stack([text.astype(np.uint64), name, count.astype(np.uint64)]))
     row, name, count = np.concatenate(parts, 1)
     order = np.lexsort((name, row))
     row, name, count = row[order].astype(np.int64), name[order], count[order].astype(np.int64)
