@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import bpe, chat, decontaminate, neardup, quality, suffixes, tokens
+from clickloom.llm import bpe, chat, decontaminate, langid, neardup, quality, suffixes, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,3 +127,11 @@ def op7_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     left = suffixes.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    part = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    filters = langid.train(docs.where(~part).select("text", "lang"))
+    return langid.identify(docs.select("doc_id", "text", part.alias("held_out")), filters).drop("text")
