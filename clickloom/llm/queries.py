@@ -6,9 +6,9 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickloom.llm import bpe, chat, decontaminate, langid, neardup, quality, suffixes, tokens
+from clickloom.llm import bpe, chat, decontaminate, langid, licenses, neardup, pii, quality, suffixes, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,3 +135,34 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     part = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     filters = langid.train(docs.where(~part).select("text", "lang"))
     return langid.identify(docs.select("doc_id", "text", part.alias("held_out")), filters).drop("text")
+
+
+def _joined(spans) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query
+def op3_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.train(docs)).drop("text").withColumn("base", F.filter("spans", lambda s: s["base"]))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    scanned = licenses.scan_licenses(table(spark, sf, "documents").select("doc_id", "text"))
+
+    def count(verdict: str) -> Column:
+        return F.size(F.filter("licenses", lambda x: x["verdict"] == verdict)).cast("long")
+
+    names = F.array_sort(F.array_distinct(F.filter(F.transform("licenses", lambda x: x["license"]), lambda x: x.isNotNull())))
+    spans = F.transform("licenses", lambda x: F.concat_ws(":", x["verdict"], F.coalesce(x["license"], F.lit("")), x["start"].cast("string"), x["end"].cast("string")))
+    return scanned.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_blocks"),
+        count("exact").alias("n_exact"),
+        count("modified").alias("n_modified"),
+        F.array_join(names, ",").alias("licenses"),
+        F.array_join(spans, ",").alias("spans"),
+    )
