@@ -18,6 +18,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clickloom.llm.sift import only
 from clickloom.session import materialise
 
 WORDS = 5
@@ -77,9 +78,8 @@ def find_items(
     found = read.select("doc_id", F.explode(F.array_distinct(shingles("words", hashed))).alias("h"))
     candidates = materialise(found.join(bounded(signatures, signatures.count()), "h").select("doc_id", "item_id").distinct())
 
-    chosen = candidates.select(F.col("doc_id").alias("chosen_id")).distinct()
-    whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    whole = whole.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen_id")), "left_semi").select("doc_id", words("text").alias("words"))
+    chosen = candidates.select("doc_id").distinct()
+    whole = only(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", chosen).select("doc_id", words("text").alias("words"))
     held = whole.select("doc_id", F.explode(F.array_distinct(shingles("words", joined))).alias("gram"))
     hits = held.join(bounded(grams, grams.count()), "gram").groupBy("doc_id", "item_id").agg(F.count_distinct("gram").alias("n_found"))
     return (

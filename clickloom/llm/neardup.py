@@ -30,13 +30,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.llm.components import components
+from clickloom.llm.sift import only, without
 from clickloom.llm.texts import PIECE_BYTES, SHINGLE_WORDS, add_columns, flat, mix, pieces, shingle_names
 from clickloom.session import materialise
 
 THRESHOLD = 0.8
 CROWD = 16
-# Slots by which texts are sifted before they are shuffled: the broadcast holds this many rows at most.
-SLOTS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -228,10 +227,18 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str =
 
 
 def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``id, text`` of the documents in ``pairs``. Hashed ids, a broadcast of at most ``SLOTS`` rows, sift the texts before the join."""
+    """``id, text`` of the documents in ``pairs``."""
     ids = materialise(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
-    slots = ids.select(slot("id").alias("slot")).distinct()
-    sifted = docs.join(F.broadcast(slots), slot("doc_id") == F.col("slot"), "left_semi").select(F.col("doc_id").alias("id"), "text")
     # A repeated row must not double the pairs.
-    return materialise(sifted.join(ids, "id", "left_semi").groupBy("id").agg(F.max("text").alias("text")))
+    return materialise(only(docs.select(F.col("doc_id").alias("id"), "text"), "id", ids).groupBy("id").agg(F.max("text").alias("text")))
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
+    """``docs`` with one document of each class, that of the smallest id; of repeated rows with one id, one stays.
+    Rows without an id cannot be told apart and all stay."""
+    found = materialise(near_duplicates(docs, threshold, doc_id, text, words).where("doc_id is not null"))
+    copies = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("class_id").alias("class_id"))
+    doubtful = materialise(copies.where("n > 1 or class_id <> doc_id"))
+    sure = without(docs, doc_id, doubtful.select("doc_id"))
+    again = doubtful.where("class_id = doc_id").select("doc_id")
+    return sure.unionByName(only(docs, doc_id, again).dropDuplicates([doc_id]))

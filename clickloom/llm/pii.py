@@ -384,7 +384,6 @@ def find_pii(df: DataFrame, field: Field, text: str = "text", spans: str = "span
 
 def redact(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """``df`` with every found span replaced by its kind in angle brackets; overlapping spans become one. Null texts stay null."""
-    fields = {f.name: f.dataType.simpleString() for f in df.schema}
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         out = []
@@ -400,4 +399,4 @@ def redact(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame
             out.append("".join(parts) + t[at:])
         return {text: pa.array(out, pa.string())}
 
-    return add_columns(df, make, f"{text} {fields[text]}").select(*df.columns)
+    return add_columns(df, make, f"{text} string")

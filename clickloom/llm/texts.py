@@ -17,21 +17,28 @@ PIECE_BYTES = 1 << 20
 def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], schema: str) -> DataFrame:
     """``df`` with the columns of ``schema``, which ``make`` computes batch by batch.
 
-    Input columns that bear the name of a new column are replaced.
+    Input columns that bear the name of a new column are replaced where they stand.
     """
     ship(df.sparkSession)
-    new = T.StructType.fromDDL(schema)
-    names = {f.name.lower() for f in new}
-    kept = [f for f in df.schema if f.name.lower() not in names]
+    new = {f.name.lower(): f for f in T.StructType.fromDDL(schema)}
+    fields = [new.get(f.name.lower(), f) for f in df.schema]
+    fields += [f for f in new.values() if f not in fields]
+    made_names = {f.name for f in new.values()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = make(batch)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(f.name) for f in kept] + [made[f.name] for f in new], names=[f.name for f in kept] + [f.name for f in new]
-            )
+            yield pa.RecordBatch.from_arrays([made[f.name] if f.name in made_names else batch.column(f.name) for f in fields], names=[f.name for f in fields])
 
-    return df.mapInArrow(run, T.StructType(kept + list(new)))
+    return df.mapInArrow(run, T.StructType(fields))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` bears it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def strings(column: pa.Array) -> list[str]:
