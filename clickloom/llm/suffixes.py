@@ -24,6 +24,8 @@ Only the id and the text are read. Repeated rows each give a row.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -33,8 +35,8 @@ from clickloom.llm.texts import flat, mix, name_spans, pieces, prefix_sums
 from clickloom.session import ship
 
 LENGTH = 50
-SOURCE_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20
+# Text per source, and per bucket what it gives: grows with the root of the text, so that packed arrays stay worth packing.
+LEAST_BYTES, MOST_BYTES, PACKED = 4 << 20, 64 << 20, 2048
 LEAST_SOURCES = 64
 NOWHERE = np.uint64((1 << 32) - 1)
 _SENT = "bucket bigint, src bigint, blob binary"
@@ -308,8 +310,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     ship(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    sources = max(LEAST_SOURCES, -(-total // SOURCE_BYTES))
-    plan = Plan(length, max(LEAST_SOURCES, -(-total // BUCKET_BYTES)), min(64, max(40, int(total).bit_length() + 10)))
+    share = min(MOST_BYTES, max(LEAST_BYTES, math.isqrt(total * PACKED)))
+    sources = max(LEAST_SOURCES, -(-total // share))
+    plan = Plan(length, sources, min(64, max(40, int(total).bit_length() + 10)))
     own = docs.withColumn("src", F.pmod(F.xxhash64("doc_id", "text"), F.lit(sources)))
 
     # Spark tells the kinds of grouped functions apart by their annotations; these have none.
