@@ -11,9 +11,10 @@ Signatures are cut into bands. Texts that share a band are compared exactly, by
 of at least ``threshold`` form classes. Equal texts are one node of this graph. In a band of more than
 ``CROWD`` texts all are first compared with one leader. Where that leaves several classes in one band, its
 texts get a longer signature with longer bands, and texts of different classes that share one of those are
-compared as well: in large bands first with the band's own leader, then whatever is still in different classes
-with one another. Only texts that differ are thus ever paired, and a group of alike texts costs one comparison
-each.
+compared as well, in large bands with the band's own leader. Texts of a large band that are then still in
+different classes meet in blocks of signatures; the pairs whose signatures agree as often as those of links do,
+but for four standard deviations, are compared too. A group of alike texts thus costs a few comparisons each,
+and no link between different classes is passed over.
 
 Null texts are alone in their class. Empty and blank texts are alike only when equal. Document ids are
 taken as unique; a repeated row falls in the class of its twin. Only the id and the text are read.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +38,7 @@ from clickloom.session import materialise
 
 THRESHOLD = 0.8
 CROWD = 16
+BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -119,23 +122,27 @@ def band_names(signature: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def sign(df: DataFrame, text: str = "text", bands: Bands = BANDS, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``df`` with ``text_key`` (null for a null text) and ``bands`` (empty for a text without words)."""
+    """``df`` with ``text_key`` (null for a null text), ``bands`` (empty for a text without words) and, for long
+    bands, ``registers``: the signature in 16 bits a register."""
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         column = batch.column(text)
         keys = [None if t is None else hashlib.sha256(t.encode()).digest() for t in column.to_pylist()]
-        lists = []
+        lists, registers = [], []
         for _, offsets, data in pieces(column):
             n = len(offsets) - 1
             signature = bag_minhash(*bags(offsets, data, words), n, bands.registers)
             names = band_names(signature, bands).view(np.int64)
+            if bands is LONG_BANDS:
+                registers += [row.tobytes() for row in (mix(signature.view(np.uint64)) >> np.uint64(48)).astype(np.uint16)]
             some = np.isfinite(signature[:, 0])
             ends = np.concatenate([[0], np.cumsum(some * bands.count)]).astype(np.int32)
             lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(names[some].ravel())))
         empty = pa.array([], pa.list_(pa.int64()))
-        return {"text_key": pa.array(keys, pa.binary()), "bands": pa.concat_arrays(lists) if lists else empty}
+        made = {"text_key": pa.array(keys, pa.binary()), "bands": pa.concat_arrays(lists) if lists else empty}
+        return made | {"registers": pa.array(registers, pa.binary())}
 
-    return add_columns(df, make, "text_key binary, bands array<bigint>")
+    return add_columns(df, make, "text_key binary, bands array<bigint>" + (", registers binary" if bands is LONG_BANDS else ""))
 
 
 def overlaps(a: pa.Array, b: pa.Array, words: int = SHINGLE_WORDS) -> np.ndarray:
@@ -176,20 +183,60 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float, words: int = SH
     return add_columns(both, make, "similarity double, text_a string, text_b string").where(F.col("similarity") >= threshold - 1e-12).select("a", "b")
 
 
-def _pairs(members: DataFrame, leader_order: Column, crowd: int | None = CROWD) -> DataFrame:
-    """Pairs to compare among ``band, id, class_id``: texts of different classes in one band. Bands of more than
-    ``crowd`` texts compare all with one leader."""
+def _open(members: DataFrame, leader_order: Column) -> DataFrame:
+    """``members`` (``band, id, class_id``) of the bands with several classes, with the band's size and leader."""
     sizes = members.groupBy("band").agg(
         F.count("*").alias("n"), F.min(F.struct(leader_order.alias("o"), F.col("id"), F.col("class_id"))).alias("first"), F.min("class_id").alias("low"), F.max("class_id").alias("high")
     )
-    open_ = sizes.where("low <> high").select("band", "n", F.col("first.id").alias("leader"), F.col("first.class_id").alias("leader_class"))
-    inside = materialise(members.join(open_, "band"))
-    small = F.lit(True) if crowd is None else F.col("n") <= crowd
-    one = inside.where(small).select("band", F.col("id").alias("a"), "class_id")
+    several = sizes.where("low <> high").select("band", "n", F.col("first.id").alias("leader"), F.col("first.class_id").alias("leader_class"))
+    return materialise(members.join(several, "band"))
+
+
+def _pairs(open_: DataFrame) -> DataFrame:
+    """Pairs to compare: texts of different classes in a small band; in a larger one all with the leader."""
+    one = open_.where(F.col("n") <= CROWD).select("band", F.col("id").alias("a"), "class_id")
     other = one.select("band", F.col("a").alias("b"), F.col("class_id").alias("class_b"))
     pairs = one.join(other, "band").where("a < b and class_id <> class_b").select("a", "b")
-    stars = inside.where(~small & (F.col("class_id") != F.col("leader_class"))).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
-    return materialise(pairs.unionByName(stars).distinct())
+    stars = open_.where((F.col("n") > CROWD) & (F.col("class_id") != F.col("leader_class")))
+    return materialise(pairs.unionByName(stars.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))).distinct())
+
+
+def _alike(open_: DataFrame, registers: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different classes in large bands whose signatures agree nearly as often as the threshold asks.
+
+    Signatures come in blocks of about ``BLOCK`` texts. A class of more texts than that has blocks of its own,
+    which need not meet each other.
+    """
+    crowd = open_.where(F.col("n") > CROWD).select("band", "id", "class_id")
+    sizes = crowd.groupBy("band", "class_id").agg(F.count("*").alias("n")).withColumn("pool", F.when(F.col("n") > BLOCK, F.col("class_id")))
+    pools = sizes.groupBy(F.col("band").alias("pool_band"), F.col("pool").alias("same_pool")).agg(F.sum("n").alias("pool_n"))
+    pooled = sizes.join(pools, (F.col("band") == F.col("pool_band")) & F.col("pool").eqNullSafe(F.col("same_pool")))
+    pooled = pooled.select("band", "class_id", "pool", "pool_n")
+    chunk = F.pmod(F.xxhash64("band", "id"), F.ceil(F.col("pool_n") / BLOCK))
+    rows = crowd.join(pooled, ["band", "class_id"]).join(registers, "id").withColumn("chunk", chunk)
+    blocks = materialise(rows.groupBy("band", "pool", "chunk").agg(F.collect_list(F.struct("id", "class_id", "registers")).alias("texts")))
+    name = F.struct(F.coalesce("pool", F.lit(-1)).alias("pool"), F.col("chunk"))
+    left, right = blocks.select("band", name.alias("x"), F.col("texts").alias("left")), blocks.select("band", name.alias("y"), F.col("texts").alias("right"))
+    meet = left.join(right, "band").where((F.col("x") <= F.col("y")) & ((F.col("x.pool") != F.col("y.pool")) | (F.col("x.pool") == -1)))
+    least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / LONG_BANDS.registers)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                sides = []
+                for side in ("left", "right"):
+                    texts = batch.column(side)[row].values
+                    matrix = np.frombuffer(b"".join(texts.field("registers").to_pylist()), np.uint16).reshape(len(texts), -1)
+                    sides.append((texts.field("id").to_numpy(zero_copy_only=False), texts.field("class_id").to_numpy(zero_copy_only=False), matrix))
+                (ids, classes, own), (ids2, classes2, other) = sides
+                found = [np.zeros((2, 0), np.int64)]
+                for i in range(len(ids)):
+                    near = np.flatnonzero((classes2 != classes[i]) & ((other == own[i]).mean(1) >= least))
+                    found.append(np.stack([np.minimum(ids[i], ids2[near]), np.maximum(ids[i], ids2[near])]))
+                a, b = np.unique(np.concatenate(found, 1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return materialise(meet.select("left", "right").mapInArrow(run, "a bigint, b bigint").distinct())
 
 
 def _classed(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -205,7 +252,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str =
     nodes = materialise(signed.where("text_key is not null").groupBy("text_key").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")))
     members = nodes.where("id is not null").select(F.explode("bands").alias("band"), "id", F.col("id").alias("class_id"))
 
-    pairs = _pairs(members, F.xxhash64("id"), CROWD)
+    pairs = _pairs(_open(members, F.xxhash64("id")))
     links = materialise(verify(pairs, texts_of(docs, pairs), threshold, words))
     classes = components(links)
 
@@ -215,12 +262,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str =
     split = settled.groupBy("band").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low <> high").select("band")
     left = materialise(settled.join(split, "band").select(F.col("id").alias("a"), F.col("id").alias("b")).distinct())
     if not left.isEmpty():
-        again = sign(texts_of(docs, left), bands=LONG_BANDS, words=words)
-        longer = materialise(again.select(F.explode("bands").alias("band"), "id"))
-        for crowd in (CROWD, None):
-            pairs = _pairs(_classed(longer, classes), F.xxhash64("band", "id"), crowd)
-            links = materialise(links.unionByName(verify(pairs, texts_of(docs, pairs), threshold, words)))
-            classes = components(links)
+        again = materialise(sign(texts_of(docs, left), bands=LONG_BANDS, words=words).drop("text"))
+        longer = again.select(F.explode("bands").alias("band"), "id")
+        order = F.xxhash64("band", "id")
+        pairs = _pairs(_open(_classed(longer, classes), order))
+        links = materialise(links.unionByName(verify(pairs, texts_of(docs, pairs), threshold, words)))
+        classes = components(links)
+        pairs = _alike(_open(_classed(longer, classes), order), again.select("id", "registers"), threshold)
+        links = materialise(links.unionByName(verify(pairs, texts_of(docs, pairs), threshold, words)))
+        classes = components(links)
 
     found = nodes.select("text_key", "id").join(classes, "id", "left").select("text_key", F.coalesce("class_id", "id").alias("class_id"))
     return signed.select("doc_id", "text_key").join(found, "text_key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))

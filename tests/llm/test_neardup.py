@@ -73,9 +73,10 @@ def test_overlaps():
     assert got == pytest.approx([similarity(bag(x), bag(y)) for x, y in zip(a, b)])
 
 
-@pytest.mark.parametrize("crowd", [16, 3])
+@pytest.mark.parametrize("crowd", [16, 2])
 def test_brute_force(rows, monkeypatch, crowd):
     monkeypatch.setattr(neardup, "CROWD", crowd)
+    monkeypatch.setattr(neardup, "BLOCK", 4 * crowd)
     data = corpus()
     df = rows([(d, t, 1, "x") for d, t in data + data[20:23]], "doc_id long, text string, class_id int, bands string")
     got = neardup.near_duplicates(df).collect()
