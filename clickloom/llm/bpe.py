@@ -32,7 +32,7 @@ LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES = r"A-Za-zªµºÀ-ÖØ-öø-ɏ", r"0
 
 SHIFT = 20
 NONE = 1 << 62
-CACHED = 400_000
+CACHED = 250_000
 
 
 @dataclass(frozen=True)
@@ -226,8 +226,8 @@ def remembered(key: str, make) -> Remembered:
     return _KNOWN[key]
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the token ids of each whole text under the ranks of the tiktoken file at ``path``."""
+def _encoder(df: DataFrame, path: str, pattern: str):
+    """A function from texts to a column of id lists."""
 
     def vocabulary():
         ranks, key = load_ranks(path)
@@ -235,23 +235,19 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
 
     sent = send(df, ("ranks", load_ranks(path)[1], pattern), vocabulary)
 
-    def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    def run(texts: list[str]) -> pa.ListArray:
         table, odd = sent.value
-        cut, known = cutter(pattern, odd), remembered("ids" + table.key, lambda piece: merge(piece.encode(), table))
-        found, counts = [], []
-        for text_ in strings(batch.column(text)):
-            own = np.fromiter(chain.from_iterable(map(known.__getitem__, cut(text_))), np.int32)
-            found.append(own)
-            counts.append(len(own))
-        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        values = np.concatenate(found) if found else np.zeros(0, np.int32)
-        return {ids: pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))}
+        cut = cutter(pattern, odd)
+        known = remembered("ids" + table.key, lambda piece: np.array(merge(piece.encode(), table), np.int32).tobytes())
+        found = [b"".join(map(known.__getitem__, cut(t))) for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(found))]))
 
-    return add_columns(df, make, f"{ids} array<int>")
+    return run
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``df`` with the bytes that each list of token ids stands for."""
+def _decoder(df: DataFrame, path: str):
+    """A function from a column of id lists to the bytes they stand for."""
 
     def tokens():
         ranks, _ = load_ranks(path)
@@ -259,15 +255,38 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
 
     sent = send(df, ("tokens", load_ranks(path)[1]), tokens)
 
-    def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+    def run(lists: pa.ListArray) -> pa.Array:
         token = sent.value.__getitem__
         out = []
-        for row in range(batch.num_rows):
-            own = batch.column(ids)[row].values
+        for row in lists:
+            own = row.values
             try:
                 out.append(None if own is None else b"".join(map(token, own.to_numpy(zero_copy_only=False).tolist())))
             except KeyError:
                 out.append(None)
-        return {decoded: pa.array(out, pa.binary())}
+        return pa.array(out, pa.binary())
+
+    return run
+
+
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``df`` with the token ids of each whole text under the ranks of the tiktoken file at ``path``."""
+    run = _encoder(df, path, pattern)
+    return add_columns(df, lambda batch: {ids: run(strings(batch.column(text)))}, f"{ids} array<int>")
+
+
+def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` with the bytes that each list of token ids stands for."""
+    run = _decoder(df, path)
+    return add_columns(df, lambda batch: {decoded: run(batch.column(ids))}, f"{decoded} binary")
+
+
+def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``decode`` of ``encode`` in one pass, for a check of the round trip."""
+    there, back = _encoder(df, path, pattern), _decoder(df, path)
+
+    def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        lists = there(strings(batch.column(text)))
+        return {ids: lists, decoded: back(lists)}
 
-    return add_columns(df, make, f"{decoded} binary")
+    return add_columns(df, make, f"{ids} array<int>, {decoded} binary")

@@ -29,7 +29,7 @@ SHARE = 2e-5
 HASHES = 3
 SLOT_BITS = 19
 LANGUAGES = 1024
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 UNKNOWN = "und"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ALPHA: list[np.ndarray] = []

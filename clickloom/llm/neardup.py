@@ -127,10 +127,11 @@ def sign(df: DataFrame, text: str = "text", bands: Bands = BANDS, words: int = S
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         column = batch.column(text)
-        keys = [None if t is None else hashlib.sha256(t.encode()).digest() for t in column.to_pylist()]
-        lists, registers = [], []
-        for _, offsets, data in pieces(column):
+        known = column.is_valid().to_pylist()
+        keys, lists, registers = [], [], []
+        for first, offsets, data in pieces(column):
             n = len(offsets) - 1
+            keys += [hashlib.sha256(data[offsets[i] : offsets[i + 1]]).digest() if known[first + i] else None for i in range(n)]
             signature = bag_minhash(*bags(offsets, data, words), n, bands.registers)
             names = band_names(signature, bands).view(np.int64)
             if bands is LONG_BANDS:

@@ -366,18 +366,32 @@ def train(df: DataFrame, text: str = "text") -> Field:
 # --- Operators --------------------------------------------------------------------------------------
 
 
+_STRUCT = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])
+
+
+def _find(text: str, field: Field) -> list[dict]:
+    taken = base_spans(text)
+    found = [(*s, True) for s in taken] + [(*s, False) for s in field.spans(text, taken)]
+    found.sort(key=lambda s: (s[0], KINDS.index(s[2])))
+    return [{"kind": k, "start": a, "end": b, "base": base} for a, b, k, base in found]
+
+
+def _redact(text: str | None, found: list[dict] | None) -> str | None:
+    if text is None or not found:
+        return text
+    parts, at = [], 0
+    for s in found:
+        if s["start"] >= at:
+            parts += [text[at : s["start"]], f"<{s['kind'].upper()}>"]
+        at = max(at, s["end"])
+    return "".join(parts) + text[at:]
+
+
 def find_pii(df: DataFrame, field: Field, text: str = "text", spans: str = "spans") -> DataFrame:
     """``df`` with all spans of each whole text: kind, start, end and whether a base pattern found it."""
-    struct = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        out = []
-        for t in strings(batch.column(text)):
-            taken = base_spans(t)
-            found = [(*s, True) for s in taken] + [(*s, False) for s in field.spans(t, taken)]
-            found.sort(key=lambda s: (s[0], KINDS.index(s[2])))
-            out.append([{"kind": k, "start": a, "end": b, "base": base} for a, b, k, base in found])
-        return {spans: pa.array(out, pa.list_(struct))}
+        return {spans: pa.array([_find(t, field) for t in strings(batch.column(text))], pa.list_(_STRUCT))}
 
     return add_columns(df, make, f"{spans} {SPANS}")
 
@@ -386,17 +400,17 @@ def redact(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame
     """``df`` with every found span replaced by its kind in angle brackets; overlapping spans become one. Null texts stay null."""
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        out = []
-        for t, found in zip(batch.column(text).to_pylist(), batch.column(spans).to_pylist()):
-            if t is None or not found:
-                out.append(t)
-                continue
-            parts, at = [], 0
-            for s in found:
-                if s["start"] >= at:
-                    parts += [t[at : s["start"]], f"<{s['kind'].upper()}>"]
-                at = max(at, s["end"])
-            out.append("".join(parts) + t[at:])
-        return {text: pa.array(out, pa.string())}
+        return {text: pa.array(map(_redact, batch.column(text).to_pylist(), batch.column(spans).to_pylist()), pa.string())}
 
     return add_columns(df, make, f"{text} string")
+
+
+def find_and_redact(df: DataFrame, field: Field, text: str = "text", spans: str = "spans") -> DataFrame:
+    """``redact`` of ``find_pii`` in one pass; the spans are those of the text before."""
+
+    def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        texts = batch.column(text).to_pylist()
+        found = [_find(t or "", field) for t in texts]
+        return {spans: pa.array(found, pa.list_(_STRUCT)), text: pa.array(map(_redact, texts, found), pa.string())}
+
+    return add_columns(df, make, f"{text} string, {spans} {SPANS}")

@@ -84,7 +84,7 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 def op4_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text"), path)
+    coded = bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

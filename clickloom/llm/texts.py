@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, types as T
 
 from clickloom.session import ship
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 
 def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], schema: str) -> DataFrame:

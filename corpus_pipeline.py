@@ -45,14 +45,14 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to the name of its kind; ``n_chars`` follows."""
     spans = free_name(docs, "spans")
-    found = pii.find_pii(docs, pii.train(docs.select("text")), spans=spans)
-    return pii.redact(found, spans=spans).drop(spans).withColumn("n_chars", F.length("text").cast("long"))
+    redacted = pii.find_and_redact(docs, pii.train(docs.select("text")), spans=spans)
+    return redacted.drop(spans).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding them gives its bytes back."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN, ids="ids"), path, ids="ids", decoded="decoded")
+    coded = bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN, ids="ids", decoded="decoded")
     whole = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return coded.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
 
