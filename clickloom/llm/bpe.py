@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 
-from clickloom.llm.texts import add_columns, strings
+from clickloom.llm.texts import AT_END, add_columns, strings
 
 # Letters, numbers and white space below U+0250, as the pattern's classes have them.
 LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES = r"A-Za-zªµºÀ-ÖØ-öø-ɏ", r"0-9²³¹¼-¾", r"\t-\r \x85\xa0"
@@ -196,6 +196,7 @@ def send(df: DataFrame, key: tuple, value) -> Broadcast:
 
 _CUTS: dict[tuple, Pieces] = {}
 _KNOWN: dict[str, dict] = {}
+AT_END.append(_KNOWN.clear)
 
 
 def cutter(pattern: str, odd: tuple[str, str]) -> Pieces:
@@ -206,7 +207,7 @@ def cutter(pattern: str, odd: tuple[str, str]) -> Pieces:
 
 
 class Remembered(dict):
-    """Pieces met by this worker and what ``make`` gave for them; bounded, emptied when full."""
+    """Pieces met by this task and what ``make`` gave for them; bounded, emptied when full."""
 
     def __init__(self, make):
         self.make = make

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.llm.texts import add_columns, mix, strings
+from clickloom.llm.texts import add_columns, mix, parts, strings
 from clickloom.session import materialise, ship
 
 LETTERS = 4
@@ -85,7 +85,7 @@ def count_grams(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
     rows = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole)):
             by: dict[str, list[str]] = {}
             for lang_, text_ in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 by.setdefault(lang_, []).append(text_)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, types as T
 from clickloom.session import ship
 
 PIECE_BYTES = 1 << 18
+PART_BYTES = 4 << 20
 
 
 def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], schema: str) -> DataFrame:
@@ -26,13 +28,38 @@ def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Arr
     made_names = {f.name for f in new.values()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = make(batch)
-            yield pa.RecordBatch.from_arrays([made[f.name] if f.name in made_names else batch.column(f.name) for f in fields], names=[f.name for f in fields])
+        try:
+            for batch in batches:
+                for part in parts(batch):
+                    made = make(part)
+                    yield pa.RecordBatch.from_arrays([made[f.name] if f.name in made_names else part.column(f.name) for f in fields], names=[f.name for f in fields])
+        finally:
+            tidy()
 
     return df.mapInArrow(run, T.StructType(fields))
 
 
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``PART_BYTES``."""
+    rows = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)
+
+
+AT_END: list[Callable[[], None]] = []
+
+
+def tidy() -> None:
+    """Give memory back when a task ends, as the worker lives on beside those of other operators."""
+    for forget in AT_END:
+        forget()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` bears it."""
     taken = {c.lower() for c in df.columns}
