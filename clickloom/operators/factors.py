@@ -87,13 +87,13 @@ def item_factors(
     )
     shape = pairs.agg(F.count_distinct("article_id").alias("i"), F.count_distinct("user_id").alias("u")).first()
     n = component_count(shape["i"], shape["u"], components)
-    width = min(n + OVERSAMPLES, 63, min(shape["i"], shape["u"]))
+    width = min(n + OVERSAMPLES, min(shape["i"], shape["u"]))
     width = max(width, 1)
     n = min(n, width)
 
-    # Random signs from one 64-bit hash per user, so the start block needs no join and no storage.
-    h = F.xxhash64(F.lit(seed), F.col("user_id"))
-    signs = [F.when(F.shiftright(h, j).bitwiseAND(F.lit(1)) == 1, F.col("weight")).otherwise(-F.col("weight")) for j in range(width)]
+    # Random signs from the bits of seeded hashes of the user, so the start block needs no join and no storage.
+    h = [F.xxhash64(F.lit(seed + i), F.col("user_id")) for i in range(-(-width // 64))]
+    signs = [F.when(F.shiftright(h[j // 64], j % 64).bitwiseAND(F.lit(1)) == 1, F.col("weight")).otherwise(-F.col("weight")) for j in range(width)]
     items = materialise(pairs.groupBy("article_id").agg(*[F.sum(s).alias(f"f{j}") for j, s in enumerate(signs)]))
     for _ in range(power_steps):
         basis = _rotate(items, "article_id", _whiten(_gram(items, width)))

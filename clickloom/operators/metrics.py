@@ -10,8 +10,6 @@ from clickloom.operators.ordering import ideal_gains
 from clickloom.schemas import MODEL_TYPES, EmptyTable
 
 PRECISION_K, RECALL_K, NDCG_K = 5, 10, 10
-MAX_EVAL_USERS = 5000
-RUN_LIMIT = 100
 
 
 def user_metrics(
@@ -50,13 +48,18 @@ def evaluate(recs: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
-def run_record(run_id: str, model_type: str, metrics: DataFrame, train: DataFrame, test: DataFrame) -> DataFrame:
-    """One finished run: metrics and dataset sizes."""
-    sizes = train.agg(
+def split_sizes(train: DataFrame, test: DataFrame) -> DataFrame:
+    """One row of dataset sizes, the same for every run on the split."""
+    parts = train.agg(
         F.count(F.lit(1)).alias("train_size"),
         F.count_distinct("user_id").alias("unique_users"),
         F.count_distinct("article_id").alias("unique_articles"),
     ).unionByName(test.agg(F.count(F.lit(1)).alias("test_size")), allowMissingColumns=True)
+    return parts.agg(*[F.max(n).alias(n) for n in parts.columns])
+
+
+def run_record(run_id: str, model_type: str, metrics: DataFrame, sizes: DataFrame) -> DataFrame:
+    """One finished run: metrics and dataset sizes."""
     both = metrics.unionByName(sizes, allowMissingColumns=True)
     names = ["ndcg_at_10", "precision_at_5", "recall_at_10", "train_size", "test_size", "unique_users", "unique_articles", "eval_users"]
     return both.agg(*[F.max(n).alias(n) for n in names]).select(
@@ -64,22 +67,22 @@ def run_record(run_id: str, model_type: str, metrics: DataFrame, train: DataFram
     )
 
 
-def candidate_runs(runs: DataFrame, limit: int = RUN_LIMIT) -> DataFrame:
-    """Finished runs of known models, unreadable metrics as 0.0; at most ``limit`` runs are searched."""
-    finished = runs.where(F.col("status") == "FINISHED").orderBy("run_id").limit(limit)
+def candidate_runs(runs: DataFrame, known: list[str] = MODEL_TYPES) -> DataFrame:
+    """Finished runs of known models, unreadable metrics as 0.0."""
+    finished = runs.where(F.col("status") == "FINISHED")
     names = ["ndcg_at_10", "precision_at_5", "recall_at_10"]
-    return finished.where(F.col("model_type").isin(MODEL_TYPES)).withColumns({n: double_or(F.col(n)) for n in names})
+    return finished.where(F.col("model_type").isin(known)).withColumns({n: double_or(F.col(n)) for n in names})
 
 
-def best_run(runs: DataFrame, limit: int = RUN_LIMIT) -> DataFrame:
+def best_run(runs: DataFrame, known: list[str] = MODEL_TYPES) -> DataFrame:
     """The run with the largest nDCG, then precision, then recall; ties by run id."""
     order = [F.col(n).desc() for n in ("ndcg_at_10", "precision_at_5", "recall_at_10")]
-    return candidate_runs(runs, limit).orderBy(*order, "run_id").limit(1)
+    return candidate_runs(runs, known).orderBy(*order, "run_id").limit(1)
 
 
-def require_best_run(runs: DataFrame):
+def require_best_run(runs: DataFrame, known: list[str] = MODEL_TYPES):
     """The best run as one row for the promotion step."""
-    row = best_run(runs).first()
+    row = best_run(runs, known).first()
     if row is None:
         raise EmptyTable("no finished run of a known model")
     return row

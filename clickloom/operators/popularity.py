@@ -8,8 +8,9 @@ from clickloom.operators.ordering import global_index, top_n
 from clickloom.session import materialise
 
 MAX_K = 20
-_LEVELS = 20
 _SPAN = 4096
+# A prefix of the ranking up to this many rows is broadcast.
+_PREFIX_ROWS = 20_000
 
 
 def item_counts(interactions: DataFrame) -> DataFrame:
@@ -26,18 +27,19 @@ def exclude_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def fill_with_popular(
-    users: DataFrame, own: DataFrame | None, seen: DataFrame, popularity: DataFrame, max_k: int = MAX_K
+    users: DataFrame, own: DataFrame | None, seen: DataFrame, popularity: DataFrame
 ) -> DataFrame:
     """Ranked lists ``user_id, article_id, rank, tier``: own candidates first, then popular ones.
 
-    ``users`` holds ``user_id, k`` with ``k <= max_k``; ``own`` holds scored candidates, one row per
+    ``users`` holds ``user_id, k`` with any ``k``; ``own`` holds scored candidates, one row per
     user and article; ``seen`` holds ``user_id, article_id`` pairs. Lists hold unseen, distinct items.
 
-    Nearly every user finds enough items in the first ``2 * max_k`` ranks. That short prefix is broadcast,
-    so the pairs a user has seen are filtered where they lie and never meet the whole ranking. Users who
+    Nearly every user finds enough items in the first ``2 * max(k)`` ranks. That prefix is broadcast when it
+    is short, so the pairs a user has seen are filtered where they lie and never meet the whole ranking. Users who
     have seen most of the prefix are served from longer prefixes afterwards.
     """
-    first = 2 * max_k
+    max_k = users.agg(F.max("k")).first()[0] or 0
+    first = max(2 * max_k, 1)
     seen = seen.select("user_id", "article_id")
     if own is None:
         chosen, blocked = None, seen
@@ -52,7 +54,8 @@ def fill_with_popular(
         base = users.join(held, "user_id", "left").fillna(0, subset=["_have"])
 
     ranks = popularity.select("article_id", F.col("pop_rank").cast("bigint").alias("pop_rank"))
-    prefix = F.broadcast(ranks.where(F.col("pop_rank") <= first))  # at most `first` rows
+    prefix = ranks.where(F.col("pop_rank") <= first)
+    prefix = F.broadcast(prefix) if first <= _PREFIX_ROWS else prefix
     taken = blocked.join(prefix, "article_id").groupBy("user_id").agg(F.collect_set("pop_rank").alias("_taken"))
     every = F.sequence(F.lit(1).cast("bigint"), F.lit(first).cast("bigint"))
     need = (F.col("k") - F.col("_have")).cast("int")
@@ -83,11 +86,15 @@ def _fill_from_longer(rest: DataFrame, blocked: DataFrame, ranks: DataFrame, fir
     enough items. A prefix is at most four times as long as the user's own blocked list allows, so the
     rows made here are linear in what these users have seen.
     """
-    sizes = [first * 4**j for j in range(1, _LEVELS)]
+    total = ranks.agg(F.max("pop_rank")).first()[0] or 0
+    sizes = [first * 4]
+    while sizes[-1] < total:
+        sizes.append(sizes[-1] * 4)
     hits = blocked.join(rest.select("user_id"), "user_id", "left_semi").distinct().join(ranks, "article_id")
     counts = hits.groupBy("user_id").agg(*[F.count(F.when(F.col("pop_rank") <= s, 1)).alias(f"_c{s}") for s in sizes])
-    fits = [F.when(F.lit(s) - F.col(f"_c{s}") >= F.col("_need"), F.lit(s).cast("bigint")) for s in sizes]
-    sized = rest.join(counts, "user_id").withColumn("_prefix", F.coalesce(*fits))
+    fits = [F.when(F.lit(s) - F.coalesce(f"_c{s}", F.lit(0)) >= F.col("_need"), F.lit(s).cast("bigint")) for s in sizes]
+    # The last prefix is the whole ranking: who finds too few items there gets what there is.
+    sized = rest.join(counts, "user_id", "left").withColumn("_prefix", F.coalesce(*fits, F.lit(sizes[-1]).cast("bigint")))
     # Two explodes, because one array of a very long prefix would not fit a row.
     spans = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_prefix") - 1) / _SPAN)))
     sized = sized.select("user_id", "_have", "_need", "_prefix", spans.alias("_s"))
@@ -102,5 +109,5 @@ def _fill_from_longer(rest: DataFrame, blocked: DataFrame, ranks: DataFrame, fir
     )
 
 
-def recommend_popular(users: DataFrame, seen: DataFrame, popularity: DataFrame, max_k: int = MAX_K) -> DataFrame:
-    return fill_with_popular(users, None, seen, popularity, max_k)
+def recommend_popular(users: DataFrame, seen: DataFrame, popularity: DataFrame) -> DataFrame:
+    return fill_with_popular(users, None, seen, popularity)

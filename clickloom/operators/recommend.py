@@ -8,12 +8,11 @@ from clickloom.operators.cleaning import column_or_blank
 from clickloom.operators.neighbours import dense_neighbours, sparse_neighbours
 from clickloom.operators.ordering import top_n
 from clickloom.operators.popularity import MAX_K, fill_with_popular
-from clickloom.schemas import FACTOR_MODEL, POPULARITY_MODEL, TEXT_MODEL
+from clickloom.schemas import FACTOR_MODEL, POPULARITY_MODEL, TEXT_MODEL, VECTOR_MODEL
 from clickloom.session import materialise
 
 DEFAULT_K = 10
 SEEDS = 3
-DETAIL_CAP = 100
 DETAIL_COLUMNS = ["title", "url", "category", "source", "abstract", "pub_date", "data_source"]
 
 
@@ -22,10 +21,11 @@ class UnknownModel(ValueError):
 
 
 def clean_requests(requests: DataFrame, default_k: int = DEFAULT_K, max_k: int = MAX_K) -> DataFrame:
-    """Trim the user, clamp ``k``; ``valid`` is false for blank users."""
+    """Trim the user, clamp ``k``; ``valid`` is false for blank users. A ``request_id`` is kept."""
     user = F.trim(F.coalesce(F.col("user_id").cast("string"), F.lit("")))
     k = F.least(F.greatest(F.coalesce(F.col("k").try_cast("int"), F.lit(default_k)), F.lit(1)), F.lit(max_k))
-    return requests.select(user.alias("user_id"), k.alias("k"), (user != "").alias("valid"))
+    named = [F.col("request_id")] if "request_id" in requests.columns else []
+    return requests.select(*named, user.alias("user_id"), k.alias("k"), (user != "").alias("valid"))
 
 
 def seed_items(
@@ -64,20 +64,20 @@ def item_scores(seeds: DataFrame, neighbours: DataFrame, seen: DataFrame | None
 
 
 def recommend_from_neighbours(
-    users: DataFrame, seeds: DataFrame, neighbours: DataFrame, seen: DataFrame, popularity: DataFrame, max_k: int = MAX_K
+    users: DataFrame, seeds: DataFrame, neighbours: DataFrame, seen: DataFrame, popularity: DataFrame
 ) -> DataFrame:
     """Neighbour candidates first, popular items in the remaining places (also for users without seeds)."""
     mine = seeds.join(users.select("user_id"), "user_id", "left_semi")
-    return fill_with_popular(users, item_scores(mine, neighbours), seen, popularity, max_k)
+    return fill_with_popular(users, item_scores(mine, neighbours), seen, popularity)
 
 
 def neighbours_for(model_type: str, items: DataFrame, seeds: DataFrame) -> DataFrame:
     """Neighbours of the distinct seeds in the model's item table."""
-    if model_type == FACTOR_MODEL:
+    if model_type in (FACTOR_MODEL, VECTOR_MODEL):
         return dense_neighbours(items, seeds)
     if model_type == TEXT_MODEL:
         return sparse_neighbours(items, seeds)
-    raise UnknownModel(f"Unsupported model_type: {model_type}")
+    raise UnknownModel(f"no recommender for model type {model_type}")
 
 
 def recommend_for_requests(
@@ -88,23 +88,35 @@ def recommend_for_requests(
     items: DataFrame | None = None,
     which: str = "recent",
 ) -> DataFrame:
-    """Ranked lists for cleaned requests (one list per user), by the model's type.
+    """A ranked list for every valid cleaned request, by the model's type.
 
-    ``items`` is the model's item table: factor vectors, or packed term rows.
+    Lists are made once per user, at the largest ``k`` asked for, and cut for each request. Rows carry the
+    request's ``request_id`` if it has one. ``items`` is the model's item table: factor vectors, or packed
+    term rows.
     """
+    lists = _user_lists(requests, profiles, model_type, popularity, items, which)
+    asked = requests.where("valid").drop("valid")
+    return lists.join(asked, "user_id").where(F.col("rank") <= F.col("k")).drop("k")
+
+
+def _user_lists(
+    requests: DataFrame, profiles: DataFrame, model_type: str, popularity: DataFrame, items: DataFrame | None, which: str
+) -> DataFrame:
     users = requests.where("valid").groupBy("user_id").agg(F.max("k").alias("k"))
     mine = profiles.join(users.select("user_id"), "user_id", "left_semi")
     seen = mine.select("user_id", F.explode("recent_clicks").alias("article_id"))
     if model_type == POPULARITY_MODEL:
         return fill_with_popular(users, None, seen, popularity)
-    if items is None or model_type not in (FACTOR_MODEL, TEXT_MODEL):
-        raise UnknownModel(f"Unsupported model_type: {model_type}")
+    if items is None or model_type not in (FACTOR_MODEL, TEXT_MODEL, VECTOR_MODEL):
+        raise UnknownModel(f"no recommender for model type {model_type}")
     seeds = materialise(profile_seeds(mine, items, which=which))
     near = neighbours_for(model_type, items, seeds)
     return recommend_from_neighbours(users, seeds, near, seen, popularity)
 
 
-def with_details(recs: DataFrame, articles: DataFrame, cap: int = DETAIL_CAP) -> DataFrame:
-    """Recommendations with article columns in rank order; unknown ids drop out, missing values are blank."""
+def with_details(recs: DataFrame, articles: DataFrame, cap: int | None = None) -> DataFrame:
+    """Recommendations with article columns by rank; unknown ids drop out, missing values are blank. ``cap`` keeps the first ranks only."""
     facts = articles.select("article_id", *[column_or_blank(articles, c).alias(c) for c in DETAIL_COLUMNS])
-    return recs.where(F.col("rank") <= cap).join(facts, "article_id").select("user_id", "rank", "article_id", *DETAIL_COLUMNS)
+    named = ["request_id"] if "request_id" in recs.columns else []
+    chosen = recs if cap is None else recs.where(F.col("rank") <= cap)
+    return chosen.join(facts, "article_id").select(*named, "user_id", "rank", "article_id", *DETAIL_COLUMNS)

@@ -78,11 +78,11 @@ def contract_report(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame
     return reduce(DataFrame.unionAll, parts)
 
 
-def embedding_candidates(articles: DataFrame, limit: int = 100_000, row_id: str = "article_id") -> DataFrame:
-    """Articles to embed: titled, one per url, one per title and url, first ``limit`` by id."""
+def embedding_candidates(articles: DataFrame, limit: int | None = None, row_id: str = "article_id") -> DataFrame:
+    """Articles to embed: titled, one per url, one per title and url; the first ``limit`` by id if given."""
     titled = articles.where(strip(F.col("title")) != "").withColumns(
         {"url": F.coalesce(blank_to_null(F.col("url"), strip), F.lit("")), "title": strip(F.col("title"))}
     )
     unique = dedup_where_present(titled, "url", row_id)
     unique = keep_first(unique, F.struct("title", "url"), [F.col(row_id)])
-    return unique.orderBy(row_id).limit(limit)
+    return unique if limit is None else unique.orderBy(row_id).limit(limit)

@@ -11,13 +11,11 @@ from clickloom.operators.encoding import Encoder, HashingEncoder, embedding_item
 from clickloom.operators.reports import embedding_candidates
 from clickloom.schemas import require_rows
 
-MAX_ARTICLES = 100_000
-
 
 def build_embedding_items(
     articles: DataFrame,
     make_encoder: Callable[[], Encoder] = HashingEncoder,
-    limit: int = MAX_ARTICLES,
+    limit: int | None = None,
     row_id: str = "article_id",
 ) -> DataFrame:
     """Titled, distinct articles with vectors, one record per embedding id."""

@@ -22,4 +22,4 @@ def serve(spark: SparkSession, root: str, requests: DataFrame, profiles: DataFra
 
 def refuse_blank(requests: DataFrame) -> DataFrame:
     """Requests without a user, with the error they get."""
-    return clean_requests(requests).where(~F.col("valid")).select("user_id", "k", F.lit("user_id is required").alias("error"))
+    return clean_requests(requests).where(~F.col("valid")).drop("valid").withColumn("error", F.lit("a request needs a user"))

@@ -7,12 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.operators import factors, interactions as inter, metrics, neighbours, popularity, recommend, terms
-from clickloom.plans import training
+from clickloom.plans import serving, training
 from clickloom.registered import query, tables
 from clickloom.registered.sql import fill, last_three, metrics as metrics_sql, term_neighbours, vector_neighbours
-from clickloom.schemas import FACTOR_MODEL, POPULARITY_MODEL, TEXT_MODEL
+from clickloom.schemas import FACTOR_MODEL, POPULARITY_MODEL, TEXT_MODEL, VECTOR_MODEL
 from clickloom.session import materialise, work_path
-from clickloom.sources.writers import append_run, latest_model, save_model
+from clickloom.sources.writers import latest_model
 
 
 def _six(df: DataFrame, *names: str) -> DataFrame:
@@ -131,14 +131,15 @@ def svd_item_factors(spark, sf):
 
 
 def _requests(spark, sf):
-    """Customers ask for as many items as their nation number; some leave the user blank or the number out."""
-    user = F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("  ")).otherwise(F.concat(F.lit(" "), F.col("c_custkey").cast("string")))
+    """Customers ask for as many items as their nation number, many of them twice; some leave the user blank or the number out."""
+    user = F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("  ")).otherwise(F.concat(F.lit(" "), (F.col("c_custkey") - F.col("c_custkey") % 3).cast("string")))
     k = F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey") - 1)
-    return tables.table(spark, sf, "customer").select(user.alias("user_id"), k.alias("k"))
+    return tables.table(spark, sf, "customer").select(F.col("c_custkey").alias("request_id"), user.alias("user_id"), k.alias("k"))
 
 
-_REQUESTS = """(SELECT user_id, max(k) AS k FROM (SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS user_id,
- CASE WHEN c_acctbal >= 0 THEN least(greatest(c_nationkey - 1, 1), 20) ELSE 10 END AS k FROM customer) WHERE user_id <> '' GROUP BY user_id)"""
+_ASKED = """(SELECT c_custkey AS request_id, CASE WHEN c_mktsegment = 'MACHINERY' THEN '' ELSE CAST(c_custkey - c_custkey % 3 AS VARCHAR) END AS user_id,
+ CASE WHEN c_acctbal >= 0 THEN least(greatest(c_nationkey - 1, 1), 20) ELSE 10 END AS k FROM customer)"""
+_REQUESTS = f"(SELECT user_id, max(k) AS k FROM {_ASKED} WHERE user_id <> '' GROUP BY user_id)"
 _PROFILE_SEEN = "(SELECT user_id, article_id FROM drecent)"
 _PROFILE_SEEDS = "SELECT user_id, article_id FROM drecent WHERE rn <= 3 AND article_id IN (SELECT article_id FROM vecs)"
 
@@ -169,33 +170,42 @@ def _served_sql() -> str:
     return fill(_REQUESTS, own, _PROFILE_SEEN, "dpop")
 
 
+def _per_request(lists: str, model: str) -> str:
+    return f"""SELECT '{model}' AS model_type, q.request_id, l.user_id, l.article_id, l.rank, CAST(NULL AS VARCHAR) AS error
+ FROM ({lists}) l JOIN {_ASKED} q ON q.user_id = l.user_id AND l.rank <= q.k"""
+
+
 @query(
     "recommend_requests",
-    f"""SELECT '{POPULARITY_MODEL}' AS model_type, user_id, article_id, rank FROM ({fill(_REQUESTS, None, _PROFILE_SEEN, 'dpop')})
- UNION ALL SELECT '{FACTOR_MODEL}', user_id, article_id, rank FROM ({_served_sql()})""",
+    f"""{_per_request(fill(_REQUESTS, None, _PROFILE_SEEN, 'dpop'), POPULARITY_MODEL)} UNION ALL {_per_request(_served_sql(), FACTOR_MODEL)}
+ UNION ALL SELECT NULL, request_id, user_id, NULL, 0, 'a request needs a user' FROM {_ASKED} WHERE user_id = ''""",
 )
 def recommend_requests(spark, sf):
     out = [
-        _served(spark, sf, model).select(F.lit(model).alias("model_type"), "user_id", "article_id", "rank")
+        _served(spark, sf, model).select(F.lit(model).alias("model_type"), "request_id", "user_id", "article_id", "rank")
         for model in (POPULARITY_MODEL, FACTOR_MODEL)
     ]
-    return out[0].unionByName(out[1])
+    refused = serving.refuse_blank(_requests(spark, sf)).select("request_id", "user_id", F.lit(0).alias("rank"), "error")
+    return out[0].unionByName(out[1]).unionByName(refused, allowMissingColumns=True)
 
 
 @query(
     "recommendation_details",
     f"""SELECT r.user_id, r.rank, r.article_id, p_name AS title, '' AS url, coalesce(p_type, '') AS category, coalesce(p_brand, '') AS source,
  '' AS abstract, '' AS pub_date, '' AS data_source FROM ({fill('(SELECT DISTINCT user_id, 20 AS k FROM inter)', None, 'pairs', 'pop')}) r
- JOIN (SELECT * FROM part WHERE p_size > 5) p ON CAST(p_partkey AS VARCHAR) = r.article_id""",
+ JOIN part ON CAST(p_partkey AS VARCHAR) = r.article_id""",
 )
 def recommendation_details(spark, sf):
-    facts = tables.table(spark, sf, "part").where("p_size > 5").select(
+    facts = tables.table(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("article_id"),
         F.col("p_name").alias("title"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("source"),
     )
-    return recommend.with_details(recommend_popular(spark, sf), facts)
+    # Rank 0 holds an id that no table has; it must drop out.
+    recs = recommend_popular(spark, sf)
+    unknown = recs.where("rank = 1").withColumns({"rank": F.lit(0), "article_id": F.lit("no such part")})
+    return recommend.with_details(recs.unionByName(unknown), facts)
 
 
 @query(
@@ -215,20 +225,28 @@ def _evaluation(split):
     return users, materialise(seen), materialise(truth), popularity.popularity_ranking(split.train)
 
 
-def _runs(spark, sf):
-    """Evaluation records of three models: popularity, given vectors as item factors, part texts."""
+_KNOWN = [POPULARITY_MODEL, VECTOR_MODEL, TEXT_MODEL]
+
+
+def _parts(spark, sf):
+    return tables.catalogue(spark, sf).withColumn("article_id", F.substring("news_id", 2, 20))
+
+
+def _runs(spark, sf, root):
+    """Run records of three models: popularity, given vectors, part texts."""
     split = training.split_interactions(tables.distinct_interactions(spark, sf))
-    users, seen, truth, ranking = _evaluation(split)
-    history = split.train.join(users.select("user_id"), "user_id", "left_semi")
-    parts = tables.catalogue(spark, sf).withColumn("article_id", F.substring("news_id", 2, 20))
-    models = {FACTOR_MODEL: tables.vectors(spark, sf), TEXT_MODEL: materialise(training.text_rows(parts))}
-    runs = [training.record(POPULARITY_MODEL, popularity.recommend_popular(users, seen, ranking), truth, split, "v1")]
-    for model, items in models.items():
-        seeds = materialise(recommend.seed_items(history, items))
-        near = recommend.neighbours_for(model, items, seeds)
-        recs = recommend.recommend_from_neighbours(users, seeds, near, seen, ranking)
-        runs.append(training.record(model, recs, truth, split, "v1"))
-    return ranking, models, reduce(DataFrame.unionByName, runs)
+    models = {VECTOR_MODEL: tables.vectors(spark, sf), TEXT_MODEL: training.text_rows(_parts(spark, sf))}
+    return training.evaluate_models(split, models, root, "v1")
+
+
+@query("train_evaluate")
+def train_evaluate(spark, sf):
+    """The training job with fitted factors, and the promotion of its best run."""
+    root = work_path(spark, "training")
+    split = training.split_interactions(tables.distinct_interactions(spark, sf))
+    runs = training.train_all(split, _parts(spark, sf), root, "v1")
+    best = training.promote_best(runs, root, "v1", "20240101_000000")
+    return runs.withColumn("promoted", F.col("model_type") == best)
 
 
 _RUN_COLUMNS = """run_id, 'FINISHED' AS status, model_type, round(ndcg_at_10, 6) AS ndcg_at_10, round(precision_at_5, 6) AS precision_at_5,
@@ -237,9 +255,7 @@ _RUN_COLUMNS = """run_id, 'FINISHED' AS status, model_type, round(ndcg_at_10, 6)
 
 @query("run_log", f"SELECT {_RUN_COLUMNS} FROM runs CROSS JOIN sizes")
 def run_log(spark, sf):
-    root = work_path(spark, "run-log")
-    append_run(_runs(spark, sf)[2], root)
-    return _six(spark.read.parquet(f"{root}/runs"), "ndcg_at_10", "precision_at_5", "recall_at_10")
+    return _six(_runs(spark, sf, work_path(spark, "run-log")), "ndcg_at_10", "precision_at_5", "recall_at_10")
 
 
 @query(
@@ -250,34 +266,26 @@ def run_log(spark, sf):
  FROM runs CROSS JOIN sizes ORDER BY runs.ndcg_at_10 DESC, runs.precision_at_5 DESC, runs.recall_at_10 DESC, run_id LIMIT 1""",
 )
 def best_model(spark, sf):
-    record = metrics.promotion_record(metrics.best_run(_runs(spark, sf)[2]), F.lit("20240101_000000"))
+    runs = _runs(spark, sf, work_path(spark, "best-model"))
+    record = metrics.promotion_record(metrics.best_run(runs, _KNOWN), F.lit("20240101_000000"))
     return _six(record, "ndcg_at_10", "precision_at_5", "recall_at_10")
 
 
 @query(
     "model_registry",
     f"""SELECT model_type, model_type = (SELECT model_type FROM runs ORDER BY ndcg_at_10 DESC, precision_at_5 DESC, recall_at_10 DESC, run_id LIMIT 1) AS promoted,
- (SELECT count(*) FROM tpop) AS popularity_rows, CASE model_type WHEN '{FACTOR_MODEL}' THEN (SELECT count(*) FROM embeddings)
+ (SELECT count(*) FROM tpop) AS popularity_rows, CASE model_type WHEN '{VECTOR_MODEL}' THEN (SELECT count(*) FROM embeddings)
   WHEN '{TEXT_MODEL}' THEN (SELECT count(DISTINCT article_id) FROM pterms) ELSE CAST(0 AS BIGINT) END AS item_rows FROM runs""",
 )
 def model_registry(spark, sf):
-    root = work_path(spark, "registry")
-    ranking, models, runs = _runs(spark, sf)
-    save_model(root, POPULARITY_MODEL, "v1", {"popularity": ranking})
-    for model, items in models.items():
-        save_model(root, model, "v1", {"popularity": ranking, "items": items})
-    append_run(runs, root)
-    training.promote_best(spark.read.parquet(f"{root}/runs"), root, "v1", "20240101_000000")
+    root, stamp = work_path(spark, "registry"), "20240101_000000"
+    runs = _runs(spark, sf, root)
+    training.promote_best(runs, root, "v1", stamp, _KNOWN)
     best = latest_model(spark, root)["best_model"]
     out = []
-    for row in spark.read.parquet(f"{root}/registry/all").collect():  # one row per model type
-        sizes = spark.read.parquet(f"{row['path']}/popularity").agg(F.count(F.lit(1)).alias("popularity_rows"))
-        items = F.lit(0).cast("bigint")
-        if row["model_type"] != POPULARITY_MODEL:
-            items = F.lit(spark.read.parquet(f"{row['path']}/items").count()).cast("bigint")
-        out.append(
-            sizes.select(
-                F.lit(row["model_type"]).alias("model_type"), F.lit(row["model_type"] == best).alias("promoted"), "popularity_rows", items.alias("item_rows")
-            )
-        )
+    for model in _KNOWN:
+        path = f"{root}/registry/all/{model}-{stamp}"
+        sizes = spark.read.parquet(f"{path}/popularity").agg(F.count(F.lit(1)).alias("popularity_rows"))
+        items = F.lit(0 if model == POPULARITY_MODEL else spark.read.parquet(f"{path}/items").count()).cast("bigint")
+        out.append(sizes.select(F.lit(model).alias("model_type"), F.lit(model == best).alias("promoted"), "popularity_rows", items.alias("item_rows")))
     return reduce(DataFrame.unionByName, out)

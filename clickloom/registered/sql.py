@@ -2,26 +2,13 @@
 
 from __future__ import annotations
 
-import glob
-import os
 import re
-import zipfile
 
-import pyspark
-
-TOKEN = r"[\p{L}\p{N}_]{2,}"
-
-
-def stop_words() -> list[str]:
-    """Spark's English stop words, read from the installed library."""
-    for jar in glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")):
-        with zipfile.ZipFile(jar) as z:
-            return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split("\n")
-    return []
+from clickloom.functions.text import STOP_WORDS, TOKEN
 
 
 def _quoted(words: list[str]) -> str:
-    return ", ".join("'" + w.replace("'", "''") + "'" for w in words if w)
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
 CATEGORY = """CASE p_type WHEN 'ECONOMY' THEN 'business' WHEN 'SMALL' THEN 'entertainment'
@@ -70,11 +57,11 @@ def term_weights(docs: str) -> str:
  SELECT article_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY article_id)) AS weight FROM (
   SELECT c.article_id, c.term, c.tf * (ln((1.0 + n.n) / (1.0 + v.df)) + 1.0) AS raw
   FROM (SELECT article_id, term, count(*) AS tf FROM (SELECT article_id, unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS term FROM {docs})
-   WHERE term NOT IN ({_quoted(stop_words())}) GROUP BY ALL) c
+   WHERE term NOT IN ({_quoted(STOP_WORDS)}) GROUP BY ALL) c
   JOIN (SELECT term, sum(tf) AS total, count(*) AS df FROM
    (SELECT article_id, term, count(*) AS tf FROM (SELECT article_id, unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS term FROM {docs})
-    WHERE term NOT IN ({_quoted(stop_words())}) GROUP BY ALL)
-   GROUP BY term ORDER BY total DESC, term LIMIT 20000) v ON v.term = c.term
+    WHERE term NOT IN ({_quoted(STOP_WORDS)}) GROUP BY ALL)
+   GROUP BY term) v ON v.term = c.term
   CROSS JOIN (SELECT count(*) AS n FROM {docs}) n)"""
 
 
@@ -121,7 +108,7 @@ CTE: dict[str, str] = {
     "trn": "SELECT * FROM hsplit WHERE NOT is_test",
     "tst": "SELECT * FROM hsplit WHERE is_test",
     "tpop": "SELECT article_id, clicks, row_number() OVER (ORDER BY clicks DESC, article_id) AS pop_rank FROM (SELECT article_id, count(*) AS clicks FROM trn GROUP BY 1)",
-    "evalu": """SELECT user_id, 10 AS k FROM (SELECT user_id FROM (SELECT DISTINCT user_id FROM tst) ORDER BY sha256('42|' || user_id), user_id LIMIT 5000)""",
+    "evalu": """SELECT user_id, 10 AS k FROM (SELECT DISTINCT user_id FROM tst)""",
     "eseen": "SELECT DISTINCT user_id, article_id FROM trn WHERE user_id IN (SELECT user_id FROM evalu)",
     "etruth": "SELECT DISTINCT user_id, article_id FROM tst WHERE user_id IN (SELECT user_id FROM evalu)",
     "poprecs": fill("evalu", None, "eseen", "tpop"),
@@ -140,7 +127,7 @@ CTE: dict[str, str] = {
     "sizes": """SELECT (SELECT count(*) FROM trn) AS train_size, (SELECT count(*) FROM tst) AS test_size,
  (SELECT count(DISTINCT user_id) FROM trn) AS unique_users, (SELECT count(DISTINCT article_id) FROM trn) AS unique_articles""",
     "runs": f"""SELECT 'popularity_baseline-v1' AS run_id, 'popularity_baseline' AS model_type, * FROM ({metrics('poprecs', 'etruth')})
- UNION ALL SELECT 'svd_matrix_factorisation-v1', 'svd_matrix_factorisation', * FROM ({metrics('vrecs', 'etruth')})
+ UNION ALL SELECT 'given_vectors-v1', 'given_vectors', * FROM ({metrics('vrecs', 'etruth')})
  UNION ALL SELECT 'knn_content_based-v1', 'knn_content_based', * FROM ({metrics('precs', 'etruth')})""",
     "live": """SELECT doc_id, source AS source_id, CASE WHEN source <> 'src3' THEN source END AS source_name, split_part(text, chr(10), 1) AS title,
  CASE lang WHEN 'en' THEN '' WHEN 'fr' THEN '  ' WHEN 'es' THEN NULL ELSE split_part(text, chr(10), 1) || '.' END AS description, text AS content,

@@ -24,6 +24,8 @@ POPULARITY_MODEL = "popularity_baseline"
 FACTOR_MODEL = "svd_matrix_factorisation"
 TEXT_MODEL = "knn_content_based"
 MODEL_TYPES = [POPULARITY_MODEL, FACTOR_MODEL, TEXT_MODEL]
+# Item vectors that were given instead of fitted.
+VECTOR_MODEL = "given_vectors"
 
 # Labels shown for data sources.
 SOURCE_LABELS = {

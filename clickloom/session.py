@@ -36,6 +36,7 @@ def work_root(spark: SparkSession) -> str:
     to a temporary folder, because there every task runs on this machine.
     """
     sc = spark.sparkContext
+    ship(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = _LOCAL_ROOTS.get(sc.applicationId)
@@ -67,6 +68,7 @@ def spread(df: DataFrame, *keys: str, rows: int | None = None, rows_per_part: in
     """Spread rows by key before costly per-row work. The fixed number keeps small parts from being merged;
     with ``rows`` given, the number follows the size of the table."""
     spark = df.sparkSession
+    ship(spark)
     parts = spark.sparkContext.defaultParallelism
     if rows is None:
         parts = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))

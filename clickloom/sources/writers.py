@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.operators.dedup import quarantine
 from clickloom.operators.ordering import top_n
+from clickloom.schemas import POPULARITY_MODEL, RUN
 from clickloom.sources.readers import versions
 
 
@@ -72,20 +73,34 @@ def save_model(root: str, model_type: str, version: str, tables: dict[str, DataF
     return base
 
 
-def promote(spark: SparkSession, root: str, record: DataFrame, models: dict[str, str]) -> None:
-    """Publish a promotion: the metadata row, a one-row pointer and the paths of every model.
+def promote(spark: SparkSession, root: str, record: DataFrame, models: list[str], version: str, stamp: str) -> None:
+    """Publish a promotion.
 
-    The pointer is written last, so readers never see a version without its tables.
+    The tables of every model of ``version`` are copied below ``registry/all/<model>-<stamp>``, those of the
+    best below ``registry/best_model_<stamp>``. The record joins the history in ``registry/metadata``; a
+    repeated promotion of one stamp replaces itself. The pointer is written last, so readers never see a
+    version without its tables.
     """
-    kept = spark.createDataFrame(list(models.items()), "model_type string, path string")
-    overwrite(kept, f"{root}/registry/all")
-    stamped = record.join(F.broadcast(kept.withColumnRenamed("model_type", "best_model")), "best_model")
-    overwrite(stamped, f"{root}/registry/metadata")
-    overwrite(stamped.select("best_model", "path", "timestamp", "data_version"), f"{root}/registry/latest")
-
-
-def append_run(run: DataFrame, root: str) -> None:
-    run.write.mode("append").parquet(f"{root}/runs")
+    best = record.first()["best_model"]
+    popularity = f"{root}/models/{POPULARITY_MODEL}/{version}/popularity"
+    for model in models:
+        targets = [f"{root}/registry/all/{model}-{stamp}"] + [f"{root}/registry/best_model_{stamp}"] * (model == best)
+        for target in targets:
+            overwrite(spark.read.parquet(popularity), f"{target}/popularity")
+            if model != POPULARITY_MODEL:
+                overwrite(spark.read.parquet(f"{root}/models/{model}/{version}/items"), f"{target}/items")
+    overwrite(record, f"{root}/registry/metadata/stamp={stamp}")
+    pointer = record.select("best_model", F.concat(F.lit(f"{root}/"), "model_path").alias("path"), "timestamp", "data_version")
+    overwrite(pointer, f"{root}/registry/latest")
+
+
+def append_runs(runs: DataFrame, root: str, version: str) -> None:
+    """Put the runs of a version on record; the same version again replaces its runs."""
+    overwrite(runs, f"{root}/runs/version={version}")
+
+
+def read_runs(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(RUN).parquet(f"{root}/runs").select(*RUN.names)
 
 
 def latest_model(spark: SparkSession, root: str):

@@ -12,6 +12,7 @@ from clickloom.plans import embedding, serving, training
 from clickloom.schemas import POPULARITY_MODEL
 from clickloom.session import work_path
 from clickloom.sources import readers, writers
+from clickloom.sources.writers import latest_model
 from clickloom.streaming import clicks as click_stream
 from clickloom.streaming import landing
 
@@ -193,13 +194,37 @@ def test_end_to_end_serving(spark, trained):
         assert [i for i, _ in mine] == [1, 2, 3, 4, 5]
         assert not {a for _, a in mine} & seen.get(user, set()) and len({a for _, a in mine}) == 5
     assert {r["model_type"] for r in got} == {best} and all(r["title"] for r in got)
-    assert serving.refuse_blank(requests).first()["error"] == "user_id is required"
-
-
-def test_registry_paths_exist(spark, trained):
-    root = trained[0]
-    paths = spark.read.parquet(f"{root}/registry/all").collect()
-    assert len(paths) == 3 and all(spark.read.parquet(f"{p['path']}/popularity").count() for p in paths)
-    meta = spark.read.parquet(f"{root}/registry/metadata").first()
-    assert meta["model_path"] == "registry/best_model_20240101_000000" and len(meta["data_version"]) == 8
-    assert inter.pair_weights(trained[2].train).count() > 0 and popularity.MAX_K == 20
+    assert serving.refuse_blank(requests).first()["error"] == "a request needs a user"
+
+
+def test_registry_holds_copies_and_history(spark, trained):
+    root, _, split, runs, best = trained
+    for model in schemas.MODEL_TYPES:
+        assert spark.read.parquet(f"{root}/registry/all/{model}-20240101_000000/popularity").count()
+    first = f"{root}/registry/best_model_20240101_000000"
+    assert spark.read.parquet(f"{first}/popularity").count() > 0
+    for stamp in ("20240102_000000", "20240102_000000"):
+        training.promote_best(runs, root, "v1", stamp)
+    history = spark.read.parquet(f"{root}/registry/metadata").collect()
+    assert sorted(r["timestamp"] for r in history) == ["20240101_000000", "20240102_000000"]
+    assert all(r["model_path"] == f"registry/best_model_{r['timestamp']}" and len(r["data_version"]) == 8 for r in history)
+    assert latest_model(spark, root)["path"] == f"{root}/registry/best_model_20240102_000000"
+    assert spark.read.parquet(f"{first}/popularity").count() > 0
+    assert inter.pair_weights(split.train).count() > 0 and popularity.MAX_K == 20
+
+
+def test_training_a_version_again_replaces_its_runs(spark, trained):
+    _, articles, split, _, _ = trained
+    root = work_path(spark, "again")
+    for version in ("v1", "v1", "v2"):
+        runs = training.evaluate_models(split, {}, root, version)
+    assert sorted(r["run_id"] for r in runs.collect()) == ["popularity_baseline-v1", "popularity_baseline-v2"]
+
+
+def test_every_request_is_answered(spark, trained):
+    root, articles, split, _, _ = trained
+    hist = split.train.groupBy("user_id").agg(F.slice(F.array_sort(F.collect_set("article_id")), 1, 10).alias("recent_clicks"))
+    requests = spark.createDataFrame([(1, "u00", 3), (2, "u00", 5), (3, "u01", 4), (4, "", 4)], "request_id int, user_id string, k int")
+    got = serving.serve(spark, root, requests, hist, articles).collect()
+    assert sorted((r["request_id"], r["rank"]) for r in got) == [(q, i) for q, k in ((1, 3), (2, 5), (3, 4)) for i in range(1, k + 1)]
+    assert [r["request_id"] for r in serving.refuse_blank(requests).collect()] == [4]

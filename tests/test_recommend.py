@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import factors, metrics, neighbours, popularity, recommend, terms
+from clickloom.plans import training
 from clickloom.schemas import FACTOR_MODEL, POPULARITY_MODEL, EmptyTable
 from clickloom.session import materialise
 
@@ -223,7 +224,7 @@ def test_cold_users_get_popular_items(rows):
 def test_details_keep_rank_and_drop_unknown(rows):
     recs = rows([("u", "a", 1), ("u", "zz", 2), ("u", "b", 3), ("u", "a", 101)], PAIRS + ", rank int")
     arts = rows([("a", "A", None), ("b", None, "x")], "article_id string, title string, url string")
-    got = [tuple(r)[:5] for r in recommend.with_details(recs, arts).orderBy("rank").collect()]
+    got = [tuple(r)[:5] for r in recommend.with_details(recs, arts, cap=100).orderBy("rank").collect()]
     assert got == [("u", 1, "a", "A", ""), ("u", 3, "b", "", "x")]
 
 
@@ -296,3 +297,41 @@ def test_tiny_factor_tables(spark):
 def test_checkpoints_go_to_the_named_folder(spark):
     assert materialise(spark.range(3).withColumn("x", F.lit(1))).count() == 3
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_no_hidden_caps(spark, rows):
+    ranking = rows([(f"i{n:03d}", 100 - n, n + 1) for n in range(60)], "article_id string, clicks long, pop_rank long")
+    nobody = rows([], PAIRS)
+    asked = rows([("u", 50), ("v", 200)], "user_id string, k int")
+    got = popularity.fill_with_popular(asked, None, nobody, ranking).groupBy("user_id").count().collect()
+    assert {r["user_id"]: r["count"] for r in got} == {"u": 50, "v": 60}
+    seen = rows([("u", f"i{n:03d}") for n in range(55)], PAIRS)
+    few = popularity.fill_with_popular(rows([("u", 3), ("w", 9)], "user_id string, k int"), None, seen, ranking).collect()
+    assert sorted((r["user_id"], r["article_id"]) for r in few) == [("u", f"i{n:03d}") for n in (55, 56, 57)] + [("w", f"i{n:03d}") for n in range(9)]
+    runs = rows([(f"a{n:03d}", "FINISHED", POPULARITY_MODEL, float(n)) for n in range(150)], "run_id string, status string, model_type string, ndcg_at_10 double").withColumns(
+        {"precision_at_5": F.lit(0.0), "recall_at_10": F.lit(0.0)}
+    )
+    assert metrics.best_run(runs).first()["run_id"] == "a149"
+    users = spark.range(5200).select(F.col("id").cast("string").alias("user_id"))
+    assert training.evaluation_users(users).count() == 5200
+
+
+def test_a_hundred_components(spark):
+    pairs = spark.range(150 * 140).select((F.col("id") % 150).cast("string").alias("user_id"), F.floor(F.col("id") / 150).cast("string").alias("article_id"), F.rand(3).alias("weight"))
+    assert factors.item_factors(pairs, 100, power_steps=1).select(F.size("embedding").alias("n")).distinct().collect()[0]["n"] == 100
+
+
+def test_no_text_crosses_a_shuffle(rows):
+    docs = rows([("a", "alpha beta beta"), ("b", "beta gamma")], "article_id string, text string")
+    plan = terms.term_counts(docs)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    below = plan.split("Exchange")[1].splitlines()[0]
+    assert "term" in below or "text" not in below
+    assert {(r["article_id"], r["term"], r["tf"]) for r in terms.term_counts(docs).collect()} == {("a", "alpha", 1), ("a", "beta", 2), ("b", "beta", 1), ("b", "gamma", 1)}
+
+
+def test_sql_needs_no_jars():
+    from clickloom.functions.text import STOP_WORDS
+    from clickloom.registered import ORACLES, load
+
+    load()
+    assert len(STOP_WORDS) == 181 and "'ourselves'" in ORACLES["tfidf"] and "LIMIT 20000" not in ORACLES["tfidf"]
