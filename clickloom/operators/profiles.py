@@ -15,11 +15,17 @@ from clickloom.operators.ordering import top_n
 CLICK_CAP = 20
 
 
-def parse_clicks(df: DataFrame, body: str = "body") -> DataFrame:
-    """Click records from JSON request bodies; bodies without user or article drop out."""
+# Fixed value: the start of the error text of a click on an unknown article.
+UNKNOWN_ARTICLE = "Article not found: "
+
+
+def parse_clicks(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """Click records from JSON request bodies, and the rows whose body names no user or no article, with an error."""
     fields = F.from_json(F.col(body), "user_id string, article_id string")
-    rows = df.withColumn("_b", fields).select(*[c for c in df.columns if c != body], "_b.user_id", "_b.article_id")
-    return rows.na.drop(subset=["user_id", "article_id"])
+    rows = df.withColumn("_b", fields)
+    whole = F.coalesce(F.col("_b.user_id").isNotNull() & F.col("_b.article_id").isNotNull(), F.lit(False))
+    good = rows.where(whole).select(*[c for c in df.columns if c != body], "_b.user_id", "_b.article_id")
+    return good, rows.where(~whole).drop("_b").withColumn("error", F.lit("a click needs a user and an article"))
 
 
 def validate_clicks(clicks: DataFrame, articles: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -27,7 +33,7 @@ def validate_clicks(clicks: DataFrame, articles: DataFrame) -> tuple[DataFrame,
     facts = articles.select("article_id", F.coalesce(F.col("category"), F.lit("unknown")).alias("category"))
     accepted = clicks.join(facts, "article_id")
     rejected = clicks.join(facts.select("article_id"), "article_id", "left_anti").withColumn(
-        "error", F.concat(F.lit("Article not found: "), F.col("article_id"))
+        "error", F.concat(F.lit(UNKNOWN_ARTICLE), F.col("article_id"))
     )
     return accepted, rejected
 

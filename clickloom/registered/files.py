@@ -87,13 +87,15 @@ def upsert_versions(spark, sf):
 _COLUMNS = "article_id, url, title, abstract, content, category, source, pub_date, fetched_at, data_source"
 
 
-@query("stream_landing", f"SELECT {_COLUMNS} FROM livededup")
+@query("stream_landing", f"SELECT {_COLUMNS}, CAST(1 AS BIGINT) AS broken_files FROM livededup")
 def stream_landing(spark, sf):
     root = work_path(spark, "landing")
     source = f"{root}/incoming"
     writers.write_json_arrays(tables.live_articles(spark, sf).repartition(4), source)
+    spark.createDataFrame([("no record",)], "value string").write.mode("append").text(source)
     landing.land_articles(spark, source, root, files_per_batch=2, pattern="*.txt")
-    return landing.landed_articles(spark, root)
+    broken = landing.rejected_files(spark, root).count()
+    return landing.landed_articles(spark, root).withColumn("broken_files", F.lit(broken).cast("bigint"))
 
 
 def _click_files(spark, sf, root):

@@ -170,12 +170,12 @@ def hash_split(spark, sf):
 def _halves(spark, sf):
     rows = tables.interactions(spark, sf)
     early = rows.where(F.col("source") == IMPRESSION_CLICK)
-    late = rows.where((F.col("source") == LOG_CLICK) & (F.col("timestamp") >= "1999-01-01"))
+    late = rows.where(F.col("source") == LOG_CLICK)
     return early, late
 
 
 _EARLY = "(SELECT * FROM inter WHERE source = 'mind_click')"
-_LATE = "(SELECT * FROM inter WHERE source = 'simulated_click' AND \"timestamp\" >= TIMESTAMP '1999-01-01')"
+_LATE = "(SELECT * FROM inter WHERE source = 'simulated_click')"
 
 
 @query(
@@ -223,14 +223,17 @@ _KNOWN = "(SELECT CAST(d.doc_id AS VARCHAR) AS article_id, CASE WHEN source <> '
 
 @query(
     "click_payloads",
-    """SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS article_id FROM events WHERE event_type IN ('click', 'view')""",
+    """SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN CAST(user_id AS VARCHAR) END AS user_id,
+ CASE WHEN event_type IN ('click', 'view') THEN json_extract_string(props, '$.k') END AS article_id, event_type NOT IN ('click', 'view') AS rejected FROM events""",
 )
 def click_payloads(spark, sf):
     """Events as request bodies; some name no article and some are no JSON."""
     kind = F.col("event_type")
     full = F.to_json(F.struct("user_id", F.get_json_object("props", "$.k").alias("article_id"), "value"))
     body = F.when(kind.isin("click", "view"), full).when(kind == "error", "{broken").otherwise(F.to_json(F.struct("user_id")))
-    return profiles.parse_clicks(tables.table(spark, sf, "events").select("event_id", body.alias("body")))
+    good, bad = profiles.parse_clicks(tables.table(spark, sf, "events").select("event_id", body.alias("body")))
+    good = good.withColumn("rejected", F.lit(False))
+    return good.unionByName(bad.select("event_id", F.lit(True).alias("rejected")), allowMissingColumns=True)
 
 
 @query(

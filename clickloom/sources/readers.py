@@ -54,11 +54,16 @@ def read_existing_tsv(spark: SparkSession, paths: list[str], schema: T.StructTyp
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the ``v=<number>`` folders below ``path``, ascending."""
+    """Numbers of the finished ``v=<number>`` folders below ``path``, ascending. A write that was broken off has
+    left no success file, and its folder does not count."""
+    names = [n for n in folder_names(spark, path) if n.startswith("v=")]
+    return sorted(int(n.split("=", 1)[1]) for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("v="))
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
 def read_since(

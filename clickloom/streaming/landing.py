@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from clickloom.operators.cleaning import flatten_source, standardise_live
 from clickloom.operators.dedup import latest_articles
@@ -17,25 +18,35 @@ def tag_landed(df: DataFrame, category: str | None = None) -> DataFrame:
     return df if category is None else df.withColumn("category", F.coalesce("category", F.lit(category)))
 
 
+_CORRUPT = "_corrupt_record"
+
+
 def land_articles(
-    spark: SparkSession, source: str, root: str, files_per_batch: int = 1000, pattern: str = "*.json"
+    spark: SparkSession, source: str, root: str, files_per_batch: int = 1000, pattern: str = "*.json", category: str | None = None
 ) -> None:
     """Process every new file of JSON records below ``source`` and stop.
 
     Each micro-batch writes its newest versions below its own number; a repeated batch replaces
-    its own output, so a restart neither loses nor doubles rows.
+    its own output, so a restart neither loses nor doubles rows. What is no record goes to ``rejected``
+    as it stands. ``category`` is given to records that have none.
     """
     stream = (
-        spark.readStream.schema(LIVE_ARTICLE)
+        spark.readStream.schema(T.StructType(LIVE_ARTICLE.fields + [T.StructField(_CORRUPT, T.StringType())]))
         .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(source)
     )
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = latest_articles(standardise_live(flatten_source(tag_landed(batch))))
+        batch = batch.persist()
+        bad = batch.where(F.col(_CORRUPT).isNotNull()).select(F.col(_CORRUPT).alias("record"))
+        bad.write.mode("overwrite").parquet(f"{root}/rejected/batch={number}")
+        good = batch.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+        rows = latest_articles(standardise_live(flatten_source(tag_landed(good, category))))
         rows.write.mode("overwrite").parquet(f"{root}/articles/batch={number}")
+        batch.unpersist()
 
     (
         stream.writeStream.foreachBatch(write)
@@ -46,6 +57,10 @@ def land_articles(
     )
 
 
+def rejected_files(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/rejected").select("record")
+
+
 def landed_articles(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
     """Newest version of every landed article: the newest base and every later batch."""
     done = [v for v in versions(spark, f"{root}/base") if upto is None or v <= upto]

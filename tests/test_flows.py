@@ -228,3 +228,49 @@ def test_every_request_is_answered(spark, trained):
     got = serving.serve(spark, root, requests, hist, articles).collect()
     assert sorted((r["request_id"], r["rank"]) for r in got) == [(q, i) for q, k in ((1, 3), (2, 5), (3, 4)) for i in range(1, k + 1)]
     assert [r["request_id"] for r in serving.refuse_blank(requests).collect()] == [4]
+
+
+def test_broken_files_are_rejected_and_a_category_is_given(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    put(source, "1.json", [{"url": "http://a", "title": "a"}, {"url": "http://b", "title": "b", "category": "Health"}])
+    put(source, "2.json", "not json")
+    landing.land_articles(spark, source, root, category="sports")
+    assert {r["title"]: r["category"] for r in landing.landed_articles(spark, root).collect()} == {"a": "sports", "b": "health"}
+    assert [r["record"].strip() for r in landing.rejected_files(spark, root).collect()] == ["not json"]
+
+
+def test_unfinished_versions_do_not_count(spark, tmp_path):
+    root = str(tmp_path)
+    order, valid = [F.col("at").desc()], F.col("v") >= 0
+    writers.upsert_version(spark, root, spark.createDataFrame([("a", 1, 1)], "k string, v int, at int"), "k", order, valid)
+    os.makedirs(f"{root}/items/v=1/_temporary/0")
+    assert readers.versions(spark, f"{root}/items") == [0]
+    assert writers.read_items(spark, root).count() == 1
+    writers.upsert_version(spark, root, spark.createDataFrame([("b", 2, 1)], "k string, v int, at int"), "k", order, valid)
+    assert {r["k"] for r in writers.read_items(spark, root).collect()} == {"a", "b"}
+
+
+def test_unreadable_click_bodies_are_kept_apart(rows):
+    bodies = [(1, '{"user_id": "u", "article_id": "a"}'), (2, "{"), (3, '{"user_id": "u"}'), (4, None)]
+    good, bad = profiles.parse_clicks(rows(bodies, "event_id int, body string"))
+    assert [tuple(r) for r in good.collect()] == [(1, "u", "a")]
+    assert {r["event_id"] for r in bad.collect()} == {2, 3, 4}
+
+
+def test_workers_can_import_the_package(tmp_path):
+    """Run in a folder of its own, with the package on the driver's path only."""
+    import subprocess
+    import sys
+
+    code = """
+import sys
+sys.path.insert(0, {root!r})
+from clickloom.session import local_session
+from clickloom.operators import neighbours, terms
+spark = local_session(2, "away", partitions=2)
+docs = spark.createDataFrame([("a", "red fish"), ("b", "red bird"), ("c", "blue fish")], "article_id string, text string")
+print("ROWS", neighbours.sparse_neighbours(terms.tfidf_rows(docs)[0]).count())
+""".format(root=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
+    assert "ROWS 7" in said.stdout, said.stderr[-2000:]
