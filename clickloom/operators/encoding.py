@@ -2,55 +2,48 @@
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.collections import rounded
+from clickloom.functions.collections import rounded, scaled
 from clickloom.functions.ids import embedding_article_id
 from clickloom.operators.cleaning import column_or_blank, drop_blank, embedding_text
+from clickloom.functions.text import tokens
 from clickloom.session import spread
 
 BATCH = 64
 Encoder = Callable[[list[str]], np.ndarray]
 
 
-class HashingEncoder:
-    """Signed hashed token counts scaled to length one. Stands in where no model is installed."""
+DIMENSION = 64
 
-    def __init__(self, dim: int = 64):
-        self.dim = dim
-        self._places: dict[str, tuple[int, float]] = {}
 
-    def _place(self, token: str) -> tuple[int, float]:
-        found = self._places.get(token)
-        if found is None:
-            digest = hashlib.md5(token.encode("utf-8")).hexdigest()
-            found = (int(digest[:8], 16) % self.dim, 1.0 if digest[8] < "8" else -1.0)
-            if len(self._places) < 1_000_000:
-                self._places[token] = found
-        return found
-
-    def __call__(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.dim))
-        for row, text in zip(out, texts):
-            for token in re.findall(r"\w{2,}", text.lower()):
-                at, sign = self._place(token)
-                row[at] += sign
-        norms = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.where(norms > 0, norms, 1.0)
+def hashed_vector(text: Column, dim: int = DIMENSION) -> Column:
+    """Signed hashed token counts scaled to length one, as Spark expressions. Stands in where no model is installed."""
+    digest = F.transform(tokens(text), F.md5)
+    places = F.transform(
+        digest,
+        lambda d: F.struct(
+            (F.conv(F.substring(d, 1, 8), 16, 10).cast("bigint") % dim).cast("int").alias("at"),
+            F.when(F.substring(d, 9, 1) < "8", 1.0).otherwise(-1.0).alias("sign"),
+        ),
+    )
+    start = F.array_repeat(F.lit(0.0), dim)
+    return scaled(F.aggregate(places, start, lambda acc, p: F.transform(acc, lambda x, i: F.when(i == p["at"], x + p["sign"]).otherwise(x))))
 
 
-def encode(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = HashingEncoder, batch: int = BATCH) -> DataFrame:
-    """Add ``embedding``: one encoder per task, texts in batches.
+def encode(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] | None = None, batch: int = BATCH) -> DataFrame:
+    """Replace ``text`` by its ``embedding``: hashed token counts, or the vectors of a model.
 
-    Rows are spread evenly first, because encoding costs far more than moving a text.
+    ``make_encoder`` is called once per task and its result with batches of texts. Rows are then spread evenly
+    first, in as many parts as their number asks for, because a model costs far more than moving a text.
     """
+    if make_encoder is None:
+        return df.withColumn("embedding", hashed_vector(F.col(text))).drop(text)
     keep = [f for f in df.schema.fields if f.name != text]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -64,7 +57,7 @@ def encode(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] = Hashi
 
     schema = T.StructType(keep + [T.StructField("embedding", T.ArrayType(T.DoubleType()))])
     names = [f.name for f in keep]
-    return spread(df.select(*names, text), *names).mapInPandas(run, schema)
+    return spread(df.select(*names, text), *names, rows=df.count()).mapInPandas(run, schema)
 
 
 def with_embedding_ids(articles: DataFrame) -> DataFrame:

@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.operators.dedup import keep_first
-from clickloom.operators.encoding import Encoder, HashingEncoder, embedding_items, encode, with_embedding_ids
+from clickloom.operators.encoding import Encoder, embedding_items, encode, with_embedding_ids
 from clickloom.operators.reports import embedding_candidates
 from clickloom.schemas import require_rows
 
 
 def build_embedding_items(
     articles: DataFrame,
-    make_encoder: Callable[[], Encoder] = HashingEncoder,
+    make_encoder: Callable[[], Encoder] | None = None,
     limit: int | None = None,
     row_id: str = "article_id",
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import casts, collections as coll, ids
 from clickloom.functions.text import strip, text_or
 from clickloom.operators import cleaning, dedup, encoding, impressions, ordering, reports
+from clickloom.plans import embedding
 from clickloom.plans.articles import build_articles
 from clickloom.registered import query, tables
 from clickloom.registered.sql import first_row, strip as sql_strip
@@ -390,3 +391,25 @@ def embedding_items(spark, sf):
     return items.select(*[c for c in items.columns if c != "embedding"], F.posexplode("embedding").alias("place", "value")).withColumn(
         "place", F.col("place").cast("bigint")
     )
+
+
+_TITLED = f"""SELECT doc_id, {sql_strip('title')} AS title, coalesce({sql_strip('url')}, '') AS url, source_name, description, publishedAt, content FROM live WHERE {sql_strip('title')} <> ''
+   QUALIFY row_number() OVER (PARTITION BY CASE WHEN {sql_strip("coalesce(url, '')")} <> '' THEN {sql_strip("coalesce(url, '')")} ELSE 'row ' || doc_id END ORDER BY doc_id) = 1"""
+
+
+@query(
+    "embedding_job",
+    f"""SELECT article_id, title, place, round(s / sqrt(sum(s * s) OVER (PARTITION BY article_id)), 6) AS value FROM (
+ SELECT article_id, title, ('0x' || substr(md5(term), 1, 8))::BIGINT % 64 AS place, sum(CASE WHEN substr(md5(term), 9, 1) < '8' THEN 1.0 ELSE -1.0 END) AS s
+ FROM (SELECT article_id, title, unnest(regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM (
+   SELECT sha256(coalesce(nullif(url, ''), concat_ws('||', title, {sql_strip("coalesce(source_name, '')")}, {sql_strip('publishedAt')}))) AS article_id, title,
+    concat_ws(' ', title, coalesce(nullif({sql_strip('description')}, ''), content)) AS body
+   FROM ({_TITLED}) WHERE doc_id IN (SELECT min(doc_id) FROM ({_TITLED}) GROUP BY title, url)
+   QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY title, body) = 1))
+ GROUP BY ALL) WHERE s <> 0""",
+)
+def embedding_job(spark, sf):
+    """The embedding job on landed articles with the default encoder."""
+    made = embedding.build_embedding_items(cleaning.flatten_source(tables.live_documents(spark, sf)), row_id="doc_id")
+    rows = made.select("article_id", "title", F.posexplode("embedding").alias("place", "value"))
+    return rows.where("value <> 0").withColumn("place", F.col("place").cast("bigint"))

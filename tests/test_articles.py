@@ -146,13 +146,23 @@ def test_encoder_slot_and_items(rows):
         "url string, title string, abstract string, content string",
     ).withColumn("row", F.monotonically_increasing_id())
     unique = reports.embedding_candidates(arts, row_id="row")
-    items = encoding.embedding_items(encoding.encode(encoding.with_embedding_ids(unique), "embedding_text", lambda: encoding.HashingEncoder(16)))
+    items = encoding.embedding_items(encoding.encode(encoding.with_embedding_ids(unique), "embedding_text"))
     got = {r["title"]: r for r in items.collect()}
     assert set(got) == {"One two", "Solo"}
-    assert got["Solo"]["embedding_dim"] == 16 and got["Solo"]["data_source"] == "newsapi"
+    assert got["Solo"]["embedding_dim"] == 64 and got["Solo"]["data_source"] == "newsapi"
     assert sum(x * x for x in got["One two"]["embedding"]) == pytest.approx(1.0, abs=1e-5)
 
 
+def test_default_encoder_is_native(rows):
+    df = rows([(1, "Red fish, red bird"), (2, ""), (3, None)], "id int, text string")
+    made = encoding.encode(df, "text")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+    got = {r["id"]: r["embedding"] for r in made.collect()}
+    assert sum(x * x for x in got[1]) == pytest.approx(1) and max(map(abs, got[1])) == pytest.approx(2 / 6**0.5)
+    assert got[2] == [0.0] * 64 and got[3] is None
+
+
 def test_encoder_is_called_in_small_batches(rows):
     class Batches:
         def __call__(self, texts):
