@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _LOCAL_ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
@@ -77,6 +77,14 @@ def spread(df: DataFrame, *keys: str, rows: int | None = None, rows_per_part: in
     return df.repartition(parts, *keys)
 
 
+BUCKETS = 64
+
+
+def bucket_of(key: str, buckets: int = BUCKETS) -> Column:
+    """The bucket that a keyed table keeps a row in."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int").alias("bucket")
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, so that they can import it."""
     sc = spark.sparkContext

@@ -67,15 +67,27 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_since(
-    spark: SparkSession, base: str, batches: str, schema: T.StructType, version: int | None, upto: int | None = None
+    spark: SparkSession,
+    base: str,
+    batches: str,
+    schema: T.StructType,
+    version: int | None,
+    upto: int | None = None,
+    buckets: list[int] | None = None,
 ) -> DataFrame:
-    """Base version ``version`` (if any) and every later batch up to ``upto``."""
+    """Base version ``version`` (if any) and every later batch up to ``upto``; with ``buckets``, of tables laid
+    out by ``bucket``, these only."""
     rows = empty_table(spark, schema)
+    placed = [T.StructField("bucket", T.IntegerType())] if buckets is not None else []
+
+    def chosen(df: DataFrame) -> DataFrame:
+        return df if buckets is None else df.where(F.col("bucket").isin(buckets)).drop("bucket")
+
     if version is not None:
-        rows = rows.unionByName(spark.read.schema(schema).parquet(f"{base}/v={version}"))
+        rows = rows.unionByName(chosen(spark.read.schema(T.StructType(schema.fields + placed)).parquet(f"{base}/v={version}")))
     if path_exists(spark, batches):
-        full = T.StructType(schema.fields + [T.StructField("batch", T.IntegerType())])
-        new = spark.read.schema(full).parquet(batches)
+        full = T.StructType(schema.fields + [T.StructField("batch", T.IntegerType())] + placed)
+        new = chosen(spark.read.schema(full).parquet(batches))
         if version is not None:
             new = new.where(F.col("batch") > version)
         if upto is not None:

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.operators.dedup import quarantine
 from clickloom.operators.ordering import top_n
-from clickloom.schemas import POPULARITY_MODEL, RUN
-from clickloom.sources.readers import versions
+from clickloom.schemas import POPULARITY_MODEL, RUN, EmptyTable
+from clickloom.session import BUCKETS, bucket_of
+from clickloom.sources.readers import folder_names, versions
 
 
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -26,31 +27,47 @@ def write_summary(summary: DataFrame, path: str) -> None:
 
 
 def upsert_version(
-    spark: SparkSession, root: str, changes: DataFrame, key: str, order: list[Column], valid: Column
+    spark: SparkSession, root: str, changes: DataFrame, key: str, order: list[Column], valid: Column, buckets: int = BUCKETS
 ) -> tuple[int, int]:
     """Write the next version of a keyed table: per key the last change wins.
 
-    Rows failing ``valid`` go to ``rejected`` and never stop the others. Returns rows written from
-    ``changes`` and rows rejected.
+    The table is laid out by a hash of the key in a fixed number of buckets, and a version holds the buckets
+    that its changes touch; others stay where they are. Rows failing ``valid`` go to ``rejected`` and never
+    stop the others. Returns rows written from ``changes`` and rows rejected.
     """
     done = versions(spark, f"{root}/items")
     number = done[-1] + 1 if done else 0
     good, bad = quarantine(changes, valid)
     overwrite(bad, f"{root}/rejected/v={number}")
     last = top_n(good, [key], order, 1, "_rn").drop("_rn")
+    schema = last.schema
     overwrite(last, f"{root}/changes/v={number}")
-    last = spark.read.schema(last.schema).parquet(f"{root}/changes/v={number}")
+    last = spark.read.schema(schema).parquet(f"{root}/changes/v={number}")
+    touched = [r["bucket"] for r in last.select(bucket_of(key, buckets)).distinct().collect()]  # at most `buckets` rows
+    paths = [p for b, p in _newest(spark, root).items() if b in touched]
     rows = last
-    if done:
-        old = spark.read.schema(last.schema).parquet(f"{root}/items/v={done[-1]}")
-        rows = last.unionByName(old.join(last.select(key), key, "left_anti"))
-    overwrite(rows, f"{root}/items/v={number}")
+    if paths:
+        rows = last.unionByName(spark.read.schema(schema).parquet(*paths).join(last.select(key), key, "left_anti"))
+    overwrite(rows.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket"), f"{root}/items/v={number}", ["bucket"])
     return last.count(), spark.read.schema(bad.schema).parquet(f"{root}/rejected/v={number}").count()
 
 
+def _newest(spark: SparkSession, root: str) -> dict[int, str]:
+    """The folder of each bucket in the newest finished version that holds it."""
+    out = {}
+    for v in versions(spark, f"{root}/items"):
+        for name in folder_names(spark, f"{root}/items/v={v}"):
+            if name.startswith("bucket="):
+                out[int(name.removeprefix("bucket="))] = f"{root}/items/v={v}/{name}"
+    return out
+
+
 def read_items(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of a keyed table."""
-    return spark.read.parquet(f"{root}/items/v={versions(spark, f'{root}/items')[-1]}")
+    """The newest state of a keyed table."""
+    paths = list(_newest(spark, root).values())
+    if not paths:
+        raise EmptyTable(f"no rows below {root}/items")
+    return spark.read.parquet(*paths)
 
 
 def write_json_arrays(df: DataFrame, path: str) -> None:

@@ -19,6 +19,7 @@ from clickloom.operators.profiles import (
     validate_clicks,
 )
 from clickloom.schemas import CLICK, COUNT_PART, RECENT_PART
+from clickloom.session import BUCKETS, bucket_of
 from clickloom.sources.readers import read_since, versions
 
 _FIRST = -1
@@ -26,8 +27,14 @@ _FIRST = -1
 
 def _store_base(root: str, version: int, recents: DataFrame, counts: DataFrame) -> None:
     """Counts go last: readers look for the newest counts version."""
-    recents.write.mode("overwrite").parquet(f"{root}/base_recents/v={version}")
-    counts.write.mode("overwrite").parquet(f"{root}/base_counts/v={version}")
+    _write_part(recents, f"{root}/base_recents/v={version}")
+    _write_part(counts, f"{root}/base_counts/v={version}")
+
+
+def _write_part(df: DataFrame, path: str) -> None:
+    """Parts lie by bucket of the user, so that a few users' state is read without the rest."""
+    placed = df.withColumn("bucket", bucket_of("user_id")).repartition("bucket")
+    placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def start_from(profiles: DataFrame, root: str) -> None:
@@ -36,12 +43,15 @@ def start_from(profiles: DataFrame, root: str) -> None:
     _store_base(root, _FIRST, recents, counts)
 
 
-def state_parts(spark: SparkSession, root: str, upto: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Recent-click and count parts: the newest base version and every later batch."""
+def state_parts(
+    spark: SparkSession, root: str, upto: int | None = None, buckets: list[int] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Recent-click and count parts: the newest base version and every later batch, in all or the given buckets."""
+    buckets = list(range(BUCKETS)) if buckets is None else buckets
     done = [v for v in versions(spark, f"{root}/base_counts") if upto is None or v <= upto]
     version = done[-1] if done else None
     return tuple(
-        read_since(spark, f"{root}/base_{kind}", f"{root}/{kind}", schema, version, upto)
+        read_since(spark, f"{root}/base_{kind}", f"{root}/{kind}", schema, version, upto, buckets)
         for kind, schema in (("recents", RECENT_PART), ("counts", COUNT_PART))
     )
 
@@ -64,12 +74,14 @@ def fold_clicks(
     files_per_batch: int = 1000,
     once_within: str | None = None,
     refresh: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    compact_every: int = 16,
 ) -> None:
     """Fold every new click file below ``source`` into the profile state and stop.
 
     Clicks on unknown articles go to ``rejected``. ``once_within`` drops repeated event ids inside the
     given delay; by default a replayed click counts again. ``refresh(users, profiles)`` returns new
-    recommendations for the users touched by a batch.
+    recommendations for the users touched by a batch; only the buckets of these users are read. Every
+    ``compact_every`` batches the parts are folded into a new base.
     """
     stream = (
         spark.readStream.schema(CLICK)
@@ -84,17 +96,20 @@ def fold_clicks(
     def fold(batch: DataFrame, number: int) -> None:
         accepted, rejected = validate_clicks(batch, articles)
         accepted = accepted.persist()
-        recent_part(accepted).write.mode("overwrite").parquet(f"{root}/recents/batch={number}")
-        count_part(accepted).write.mode("overwrite").parquet(f"{root}/counts/batch={number}")
+        _write_part(recent_part(accepted), f"{root}/recents/batch={number}")
+        _write_part(count_part(accepted), f"{root}/counts/batch={number}")
         rejected.write.mode("overwrite").parquet(f"{root}/rejected/batch={number}")
         if refresh is not None:
             touched = accepted.select("user_id").distinct()
-            recents, counts = state_parts(spark, root, number)
+            buckets = [r["bucket"] for r in touched.select(bucket_of("user_id")).distinct().collect()]  # at most BUCKETS rows
+            recents, counts = state_parts(spark, root, number, buckets)
             mine = assemble(
                 recents.join(touched, "user_id", "left_semi"), counts.join(touched, "user_id", "left_semi")
             )
             refresh(touched, mine).write.mode("overwrite").parquet(f"{root}/recommendations/batch={number}")
         accepted.unpersist()
+        if (number + 1) % compact_every == 0:
+            compact(spark, root, number)
 
     (
         stream.writeStream.foreachBatch(fold)

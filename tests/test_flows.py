@@ -274,3 +274,39 @@ print("ROWS", neighbours.sparse_neighbours(terms.tfidf_rows(docs)[0]).count())
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
     assert "ROWS 7" in said.stdout, said.stderr[-2000:]
+
+
+def test_a_batch_of_one_user_reads_one_bucket(spark, tmp_path, monkeypatch):
+    root, source = str(tmp_path / "state"), str(tmp_path / "in")
+    articles = spark.createDataFrame([("a", "health")], "article_id string, category string")
+    asked, parts = [], click_stream.state_parts
+
+    def spy(spark, root, upto=None, buckets=None):
+        asked.append(buckets)
+        return parts(spark, root, upto, buckets)
+
+    monkeypatch.setattr(click_stream, "state_parts", spy)
+    lines = [json.dumps({"user_id": f"u{i}", "article_id": "a", "event_id": i, "ts": "2024-01-01T00:00:00"}) for i in range(200)]
+    put(source, "1.json", "\n".join(lines))
+    click_stream.fold_clicks(spark, source, articles, root, refresh=lambda touched, mine: touched)
+    put(source, "2.json", lines[7])
+    click_stream.fold_clicks(spark, source, articles, root, refresh=lambda touched, mine: mine.select("user_id"), compact_every=2)
+    assert len(asked[0]) > 30 and len(asked[1]) == 1
+    recents, _ = parts(spark, root, 0, asked[1])
+    assert 0 < recents.count() < 20
+    plan = recents._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert readers.versions(spark, f"{root}/base_counts") == [1]
+    assert sorted({r["total_clicks"] for r in click_stream.read_profiles(spark, root).collect()}) == [1, 2]
+
+
+def test_an_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    root = str(tmp_path)
+    order, valid = [F.col("at").desc()], F.col("v") >= 0
+    first = spark.range(500).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"), F.lit(1).alias("at"))
+    writers.upsert_version(spark, root, first, "k", order, valid)
+    writers.upsert_version(spark, root, spark.createDataFrame([("7", 2, 1)], "k string, v int, at int"), "k", order, valid)
+    assert len(readers.folder_names(spark, f"{root}/items/v=0")) > 50
+    assert len([n for n in readers.folder_names(spark, f"{root}/items/v=1") if n.startswith("bucket=")]) == 1
+    got = {r["k"]: r["v"] for r in writers.read_items(spark, root).collect()}
+    assert len(got) == 500 and got["7"] == 2 and sum(got.values()) == 501
