@@ -123,7 +123,8 @@ def band_names(signature: np.ndarray, bands: Bands) -> np.ndarray:
 
 def sign(df: DataFrame, text: str = "text", bands: Bands = BANDS, words: int = SHINGLE_WORDS) -> DataFrame:
     """``df`` with ``text_key`` (null for a null text), ``bands`` (empty for a text without words) and, for long
-    bands, ``registers``: the signature in eight bits a register, of which unlike ones agree once in 256 times."""
+    bands, ``registers``: the signature in eight bits a register, of which unlike ones agree once in 256 times,
+    and after it the band names in 32 bits each."""
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         column = batch.column(text)
@@ -135,7 +136,9 @@ def sign(df: DataFrame, text: str = "text", bands: Bands = BANDS, words: int = S
             signature = bag_minhash(*bags(offsets, data, words), n, bands.registers)
             names = band_names(signature, bands).view(np.int64)
             if bands is LONG_BANDS:
-                registers += [row.tobytes() for row in (mix(signature.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)]
+                eight = (mix(signature.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+                codes = (names.view(np.uint64) >> np.uint64(32)).astype(np.uint32).view(np.uint8)
+                registers += [row.tobytes() for row in np.concatenate([eight, codes], 1)]
             some = np.isfinite(signature[:, 0])
             ends = np.concatenate([[0], np.cumsum(some * bands.count)]).astype(np.int32)
             lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(names[some].ravel())))
@@ -206,9 +209,10 @@ def _alike(open_: DataFrame, registers: DataFrame, threshold: float) -> DataFram
     """Pairs of different classes in large bands whose signatures agree nearly as often as the threshold asks.
 
     Signatures come in blocks of about ``BLOCK`` texts. A class of more texts than that has blocks of its own,
-    which need not meet each other.
+    which need not meet each other. A pair is given by the first of the bands that its texts share.
     """
     crowd = open_.where(F.col("n") > CROWD).select("band", "id", "class_id")
+    codes = 4 * LONG_BANDS.count
     sizes = crowd.groupBy("band", "class_id").agg(F.count("*").alias("n")).withColumn("pool", F.when(F.col("n") > BLOCK, F.col("class_id")))
     pools = sizes.groupBy(F.col("band").alias("pool_band"), F.col("pool").alias("same_pool")).agg(F.sum("n").alias("pool_n"))
     pooled = sizes.join(pools, (F.col("band") == F.col("pool_band")) & F.col("pool").eqNullSafe(F.col("same_pool")))
@@ -217,13 +221,15 @@ def _alike(open_: DataFrame, registers: DataFrame, threshold: float) -> DataFram
     rows = crowd.join(pooled, ["band", "class_id"]).join(registers, "id").withColumn("chunk", chunk)
     blocks = materialise(rows.groupBy("band", "pool", "chunk").agg(F.collect_list(F.struct("id", "class_id", "registers")).alias("texts")))
     name = F.struct(F.coalesce("pool", F.lit(-1)).alias("pool"), F.col("chunk"))
-    left, right = blocks.select("band", name.alias("x"), F.col("texts").alias("left")), blocks.select("band", name.alias("y"), F.col("texts").alias("right"))
+    left = blocks.select("band", name.alias("x"), F.col("texts").alias("left"))
+    right = blocks.select("band", name.alias("y"), F.col("texts").alias("right"))
     meet = left.join(right, "band").where((F.col("x") <= F.col("y")) & ((F.col("x.pool") != F.col("y.pool")) | (F.col("x.pool") == -1)))
     least = threshold - 4 * math.sqrt(threshold * (1 - threshold) / LONG_BANDS.registers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
+                band = np.uint32(np.uint64(batch.column("band")[row].as_py() % (1 << 64)) >> np.uint64(32))
                 sides = []
                 for side in ("left", "right"):
                     texts = batch.column(side)[row].values
@@ -232,12 +238,15 @@ def _alike(open_: DataFrame, registers: DataFrame, threshold: float) -> DataFram
                 (ids, classes, own), (ids2, classes2, other) = sides
                 found = [np.zeros((2, 0), np.int64)]
                 for i in range(len(ids)):
-                    near = np.flatnonzero((classes2 != classes[i]) & ((other == own[i]).mean(1) >= least))
+                    near = np.flatnonzero((classes2 != classes[i]) & ((other[:, :-codes] == own[i, :-codes]).mean(1) >= least))
+                    if len(near):
+                        names, names2 = np.ascontiguousarray(own[i, -codes:]).view(np.uint32), np.ascontiguousarray(other[near, -codes:]).view(np.uint32)
+                        near = near[names[(names2 == names).argmax(1)] == band]
                     found.append(np.stack([np.minimum(ids[i], ids2[near]), np.maximum(ids[i], ids2[near])]))
                 a, b = np.unique(np.concatenate(found, 1), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return materialise(meet.select("left", "right").mapInArrow(run, "a bigint, b bigint").distinct())
+    return materialise(meet.select("band", "left", "right").mapInArrow(run, "a bigint, b bigint").distinct())
 
 
 def _classed(members: DataFrame, classes: DataFrame) -> DataFrame:
