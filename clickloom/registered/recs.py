@@ -130,6 +130,32 @@ def svd_item_factors(spark, sf):
     return made.select("article_id", F.posexplode("embedding").alias("component", "value"))
 
 
+_TRACE = " + ".join(f"{{0}}[{7 * i + 1}]" for i in range(6))
+
+
+@query(
+    "svd_gram",
+    f"""WITH RECURSIVE c AS (SELECT user_id, coalesce(category, '') AS category, count(*) AS w FROM inter GROUP BY ALL),
+ e AS (SELECT a.category AS ca, b.category AS cb, CAST(sum(a.w * b.w) AS DOUBLE) AS v FROM c a JOIN c b USING (user_id) GROUP BY ALL),
+ g AS (SELECT list(v ORDER BY ca, cb) AS g, list(ca ORDER BY ca, cb) AS ca, list(cb ORDER BY ca, cb) AS cb FROM e),
+ t AS (SELECT *, {_TRACE.format('g')} AS tr FROM g),
+ p(i, m) AS (SELECT 0, list_transform(range(36), lambda k: (CASE WHEN k % 7 = 0 THEN 1.0 ELSE 0.0 END) - g[k + 1] / tr) FROM t
+  UNION ALL SELECT i + 1, list_transform(q, lambda x: x / ({_TRACE.format('q')})) FROM (SELECT i, list_transform(range(36), lambda k:
+   list_sum(list_transform(range(6), lambda j: m[(k // 6) * 6 + j + 1] * m[j * 6 + k % 6 + 1]))) AS q FROM p WHERE i < 45)),
+ s AS (SELECT m, list_dot_product(g, m) AS least FROM p CROSS JOIN t WHERE i = 45)
+ SELECT ca[k] AS category_a, cb[k] AS category_b, round((g[k] - least * m[k]) / tr, 6) AS share FROM t CROSS JOIN s CROSS JOIN (SELECT unnest(range(1, 37)) AS k)""",
+)
+def svd_gram(spark, sf):
+    """Five factors of the six categories by user: their inner products are the counts' without the smallest direction."""
+    clicks = tables.interactions(spark, sf).select("user_id", F.coalesce("category", F.lit("")).alias("article_id"))
+    made = materialise(factors.item_factors(inter.pair_weights(clicks), 5))
+    one, other = made.toDF("category_a", "a"), made.toDF("category_b", "b")
+    pairs = one.join(other, F.lit(True)).withColumn("dot", F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x))
+    # The trace of the whole matrix, from the counts.
+    trace = inter.pair_weights(clicks).agg(F.sum(F.col("weight") * F.col("weight"))).first()[0]
+    return pairs.select("category_a", "category_b", F.round(F.col("dot") / float(trace), 6).alias("share"))
+
+
 def _requests(spark, sf):
     """Customers ask for as many items as their nation number, many of them twice; some leave the user blank or the number out."""
     user = F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("  ")).otherwise(F.concat(F.lit(" "), (F.col("c_custkey") - F.col("c_custkey") % 3).cast("string")))

@@ -203,4 +203,6 @@ def sql(final: str) -> str:
     need(final)
     if not order:
         return final
-    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({CTE[n]})" for n in order) + "\n" + final
+    named = ",\n".join(f"{n} AS MATERIALIZED ({CTE[n]})" for n in order)
+    own = "WITH RECURSIVE "
+    return f"{own}{named},\n{final.removeprefix(own)}" if final.startswith(own) else f"WITH {named}\n{final}"
