@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -77,6 +78,16 @@ def spread(df: DataFrame, *keys: str, rows: int | None = None, rows_per_part: in
     return df.repartition(parts, *keys)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the files of shuffles and checkpoints that nothing refers to any more removed.
+
+    Spark's cleaner learns of them when the driver collects garbage, which a job of many small rounds does
+    too seldom: until then their files and the driver's native buffers stay.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 BUCKETS = 64
 
 
