@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.session import materialise
+from clickloom.session import materialise, release
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -30,3 +30,4 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = labels_.select("id", "class_id")
         if labels_.where("class_id <> before").isEmpty():
             return labels
+        release(labels.sparkSession)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clickloom.llm.components import components
 from clickloom.llm.sift import only, without
 from clickloom.llm.texts import PIECE_BYTES, SHINGLE_WORDS, add_columns, flat, mix, pieces, shingle_names
-from clickloom.session import materialise
+from clickloom.session import materialise, release
 
 THRESHOLD = 0.8
 CROWD = 16
@@ -262,9 +262,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str =
     nodes = materialise(signed.where("text_key is not null").groupBy("text_key").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")))
     members = nodes.where("id is not null").select(F.explode("bands").alias("band"), "id", F.col("id").alias("class_id"))
 
+    spark = docs.sparkSession
     pairs = _pairs(_open(members, F.xxhash64("id")))
+    release(spark)
     links = materialise(verify(pairs, texts_of(docs, pairs), threshold, words))
     classes = components(links)
+    release(spark)
 
     # Bands of many texts that one leader did not bring into one class.
     crowded = members.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("band")
@@ -277,10 +280,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str =
         order = F.xxhash64("band", "id")
         pairs = _pairs(_open(_classed(longer, classes), order))
         links = materialise(links.unionByName(verify(pairs, texts_of(docs, pairs), threshold, words)))
+        release(spark)
         classes = components(links)
+        release(spark)
         pairs = _alike(_open(_classed(longer, classes), order), again.select("id", "registers"), threshold)
+        release(spark)
         links = materialise(links.unionByName(verify(pairs, texts_of(docs, pairs), threshold, words)))
+        release(spark)
         classes = components(links)
+        release(spark)
 
     found = nodes.select("text_key", "id").join(classes, "id", "left").select("text_key", F.coalesce("class_id", "id").alias("class_id"))
     return signed.select("doc_id", "text_key").join(found, "text_key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
