@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from clickloom.operators.cleaning import clean_logs, flatten_source, standardise_catalogue, standardise_live
-from clickloom.operators.dedup import first_by_id, latest_across_sources, latest_articles
+from clickloom.operators.dedup import latest_across_sources
 from clickloom.operators.impressions import explode_impressions
 from clickloom.operators.interactions import id_mapping, translate_ids
 from clickloom.operators.vectors import merge_recents, profile_items, raw_log_recents, union_clicks, user_vectors
@@ -13,10 +13,12 @@ from clickloom.sources.writers import overwrite
 
 
 def build_articles(live: DataFrame, catalogue: DataFrame, blank_is_missing: bool = True) -> DataFrame:
-    """One clean article table from landed articles and the catalogue."""
-    landed = latest_articles(standardise_live(flatten_source(live), blank_is_missing))
-    listed = first_by_id(standardise_catalogue(catalogue))
-    return latest_across_sources(landed.unionByName(listed))
+    """One clean article table from landed articles and the catalogue.
+
+    The newest row of each key over both sources is also the newest of its own source, so one pass does.
+    """
+    landed = standardise_live(flatten_source(live), blank_is_missing)
+    return latest_across_sources(landed.unionByName(standardise_catalogue(catalogue)))
 
 
 def build_user_vectors(logs: DataFrame, behaviours: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:

@@ -185,14 +185,15 @@ def duplicate_report(spark, sf):
 )
 def stage_counts(spark, sf):
     landed = cleaning.standardise_live(cleaning.flatten_source(tables.live_articles(spark, sf)))
-    unique = dedup.latest_articles(landed)
-    listed = dedup.first_by_id(cleaning.standardise_catalogue(tables.catalogue(spark, sf)))
+    # Deduplication keeps one row per key, so the keys alone tell its size.
+    key = dedup.article_key(F.col("url"), F.col("article_id")).alias("key")
+    found, listed = landed.select(key), cleaning.standardise_catalogue(tables.catalogue(spark, sf)).select(key)
     return reports.stage_counts(
         {
             "landed": landed,
-            "landed_unique": unique,
-            "catalogue_unique": listed,
-            "articles": dedup.latest_across_sources(unique.unionByName(listed)),
+            "landed_unique": found.distinct(),
+            "catalogue_unique": listed.distinct(),
+            "articles": found.unionByName(listed).distinct(),
         }
     )
 

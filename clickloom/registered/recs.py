@@ -149,8 +149,11 @@ def svd_gram(spark, sf):
     """Five factors of the six categories by user: their inner products are the counts' without the smallest direction."""
     clicks = tables.interactions(spark, sf).select("user_id", F.coalesce("category", F.lit("")).alias("article_id"))
     made = materialise(factors.item_factors(inter.pair_weights(clicks), 5))
-    one, other = made.toDF("category_a", "a"), made.toDF("category_b", "b")
-    pairs = one.join(other, F.lit(True)).withColumn("dot", F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x))
+    # Six rows make one list, and the list its pairs.
+    listed = made.agg(F.collect_list(F.struct("article_id", "embedding")).alias("all"))
+    pairs = listed.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
+    pairs = pairs.select(F.col("x.article_id").alias("category_a"), F.col("y.article_id").alias("category_b"), F.col("x.embedding").alias("a"), F.col("y.embedding").alias("b"))
+    pairs = pairs.withColumn("dot", F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x))
     # The trace of the whole matrix, from the counts.
     trace = inter.pair_weights(clicks).agg(F.sum(F.col("weight") * F.col("weight"))).first()[0]
     return pairs.select("category_a", "category_b", F.round(F.col("dot") / float(trace), 6).alias("share"))

@@ -88,7 +88,7 @@ def semi_valid_articles(spark, sf):
 def _built(spark, sf):
     logs, behaviours = _etl_inputs(spark, sf)
     cat = tables.catalogue(spark, sf)
-    articles = build_articles(tables.live_articles(spark, sf), cat).select("article_id", "url")
+    articles = materialise(build_articles(tables.live_articles(spark, sf), cat).select("article_id", "url"))
     return articles, behaviours, logs, inter.build_interactions(articles, behaviours, logs, inter.id_mapping(cat))
 
 
@@ -104,7 +104,7 @@ def build_interactions(spark, sf):
 def training_articles(spark, sf):
     logs, behaviours = _etl_inputs(spark, sf)
     cat = tables.catalogue(spark, sf)
-    articles = build_articles(tables.live_articles(spark, sf), cat)
+    articles = materialise(build_articles(tables.live_articles(spark, sf), cat).select("article_id", "title", "category"))
     rows = inter.build_interactions(articles, behaviours, logs, inter.id_mapping(cat))
     return inter.training_articles(articles, rows).select("article_id", "title", "category")
 

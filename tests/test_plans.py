@@ -70,3 +70,13 @@ def test_hot_keys_give_whole_results(spark):
     recs = popularity.recommend_popular(users, inter.seen_pairs(clicks), ranking)
     assert recs.groupBy("user_id").count().where("count = 20").count() == users.count()
     assert recs.join(clicks, ["user_id", "article_id"], "left_semi").count() == 0
+
+
+def test_articles_are_built_in_one_shuffle(spark):
+    text = plan(entry.queries()["build_articles"](spark, SF))
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan") == 2
+
+
+def test_articles_are_written_once_for_their_uses(spark):
+    text = plan(entry.queries()["training_articles"](spark, SF))
+    assert "WindowGroupLimit" not in text.split("Scan ExistingRDD")[0] or "documents.parquet" not in text
