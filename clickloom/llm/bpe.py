@@ -15,24 +15,26 @@ import base64
 import functools
 import hashlib
 import re
+from array import array
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 
-from clickloom.llm.texts import AT_END, add_columns, strings
+from clickloom.llm.texts import CACHES, add_columns, strings
 
 # Letters, numbers and white space below U+0250, as the pattern's classes have them.
 LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES = r"A-Za-zªµºÀ-ÖØ-öø-ɏ", r"0-9²³¹¼-¾", r"\t-\r \x85\xa0"
 
 SHIFT = 20
 NONE = 1 << 62
-CACHED = 250_000
+CACHED = 400_000
 
 
 @dataclass(frozen=True)
@@ -68,28 +70,18 @@ def merge(piece: bytes, table: Merges) -> list[int]:
     get = pairs.get
     # A node is rank and position in one number, so that the smaller number is the leftmost smallest rank.
     tree = [NONE] * (2 * size)
-    for i in range(n - 1):
-        rank = get(ids[i] << SHIFT | ids[i + 1])
+    left = ids[0]
+    for i in range(1, n):
+        right = ids[i]
+        rank = get(left << SHIFT | right)
         if rank is not None:
-            tree[size + i] = rank << width | i
+            tree[size + i - 1] = rank << width | i - 1
+        left = right
     for i in range(size - 1, 0, -1):
-        a, b = tree[2 * i], tree[2 * i + 1]
-        tree[i] = a if a < b else b
+        x, y = tree[2 * i], tree[2 * i + 1]
+        tree[i] = x if x < y else y
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     mask = (1 << width) - 1
-
-    def put(position: int, value: int) -> None:
-        i = size + position
-        tree[i] = value
-        i >>= 1
-        while i:
-            a, b = tree[2 * i], tree[2 * i + 1]
-            low = a if a < b else b
-            if tree[i] == low:
-                return
-            tree[i] = low
-            i >>= 1
-
     while (best := tree[1]) != NONE:
         i = best & mask
         gone = after[i]
@@ -97,18 +89,36 @@ def merge(piece: bytes, table: Merges) -> list[int]:
         ids[i] = new = made[best >> width]
         ids[gone] = -1
         after[i] = right
-        if gone < n - 1:
-            put(gone, NONE)
+        # Three leaves change: the token that went, the merged pair, its left neighbour.
+        c = size + gone if gone < n - 1 else size + i
+        tree[c] = NONE
+        b = size + i
         if right < n:
             before[right] = i
             rank = get(new << SHIFT | ids[right])
-            put(i, NONE if rank is None else rank << width | i)
+            tree[b] = NONE if rank is None else rank << width | i
+        else:
+            tree[b] = NONE
+        a = before[i]
+        if a >= 0:
+            rank = get(ids[a] << SHIFT | new)
+            tree[size + a] = NONE if rank is None else rank << width | a
+            a += size
         else:
-            put(i, NONE)
-        left = before[i]
-        if left >= 0:
-            rank = get(ids[left] << SHIFT | new)
-            put(left, NONE if rank is None else rank << width | left)
+            a = b
+        # Their ancestors, level by level; shared ones once.
+        while b > 1:
+            a >>= 1
+            b >>= 1
+            c >>= 1
+            x, y = tree[2 * b], tree[2 * b + 1]
+            tree[b] = x if x < y else y
+            if a != b:
+                x, y = tree[2 * a], tree[2 * a + 1]
+                tree[a] = x if x < y else y
+            if c != b:
+                x, y = tree[2 * c], tree[2 * c + 1]
+                tree[c] = x if x < y else y
     return [x for x in ids if x >= 0]
 
 
@@ -196,7 +206,7 @@ def send(df: DataFrame, key: tuple, value) -> Broadcast:
 
 _CUTS: dict[tuple, Pieces] = {}
 _KNOWN: dict[str, dict] = {}
-AT_END.append(_KNOWN.clear)
+CACHES["pieces"] = _KNOWN.clear
 
 
 def cutter(pattern: str, odd: tuple[str, str]) -> Pieces:
@@ -207,7 +217,7 @@ def cutter(pattern: str, odd: tuple[str, str]) -> Pieces:
 
 
 class Remembered(dict):
-    """Pieces met by this task and what ``make`` gave for them; bounded, emptied when full."""
+    """Pieces met by this worker and what ``make`` gave for them; bounded, emptied when full."""
 
     def __init__(self, make):
         self.make = make
@@ -223,6 +233,7 @@ class Remembered(dict):
 
 def remembered(key: str, make) -> Remembered:
     if key not in _KNOWN:
+        _KNOWN.clear()
         _KNOWN[key] = Remembered(make)
     return _KNOWN[key]
 
@@ -239,7 +250,7 @@ def _encoder(df: DataFrame, path: str, pattern: str):
     def run(texts: list[str]) -> pa.ListArray:
         table, odd = sent.value
         cut = cutter(pattern, odd)
-        known = remembered("ids" + table.key, lambda piece: np.array(merge(piece.encode(), table), np.int32).tobytes())
+        known = remembered("ids" + table.key, lambda piece: array("i", merge(piece.encode(), table)).tobytes())
         found = [b"".join(map(known.__getitem__, cut(t))) for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(found))]))
@@ -252,20 +263,28 @@ def _decoder(df: DataFrame, path: str):
 
     def tokens():
         ranks, _ = load_ranks(path)
-        return {rank: token for token, rank in ranks.items()}
+        listed = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            listed[rank] = token
+        return np.array([len(t) for t in listed]), np.frombuffer(b"".join(listed), np.uint8)
 
     sent = send(df, ("tokens", load_ranks(path)[1]), tokens)
 
     def run(lists: pa.ListArray) -> pa.Array:
-        token = sent.value.__getitem__
-        out = []
-        for row in lists:
-            own = row.values
-            try:
-                out.append(None if own is None else b"".join(map(token, own.to_numpy(zero_copy_only=False).tolist())))
-            except KeyError:
-                out.append(None)
-        return pa.array(out, pa.binary())
+        lengths, data = sent.value
+        starts = np.cumsum(lengths) - lengths
+        ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        rows = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))])
+        bad = (ids < 0) | (ids >= len(lengths))
+        bad[~bad] = lengths[ids[~bad]] == 0
+        known = np.where(bad, 0, ids)
+        sizes = lengths[known]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        out = data[np.repeat(starts[known] - ends[:-1], sizes) + np.arange(ends[-1])]
+        offsets = pa.py_buffer(ends[rows].astype(np.int32).tobytes())
+        decoded = pa.Array.from_buffers(pa.binary(), len(lists), [None, offsets, pa.py_buffer(out.tobytes())])
+        wrong = np.diff(np.concatenate([[0], np.cumsum(bad)])[rows]) > 0
+        return pc.if_else(pc.or_(pc.is_null(lists), pa.array(wrong)), pa.scalar(None, pa.binary()), decoded)
 
     return run
 
@@ -273,7 +292,7 @@ def _decoder(df: DataFrame, path: str):
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the token ids of each whole text under the ranks of the tiktoken file at ``path``."""
     run = _encoder(df, path, pattern)
-    return add_columns(df, lambda batch: {ids: run(strings(batch.column(text)))}, f"{ids} array<int>")
+    return add_columns(df, lambda batch: {ids: run(strings(batch.column(text)))}, f"{ids} array<int>", "pieces")
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -290,4 +309,4 @@ def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text"
         lists = there(strings(batch.column(text)))
         return {ids: lists, decoded: back(lists)}
 
-    return add_columns(df, make, f"{ids} array<int>, {decoded} binary")
+    return add_columns(df, make, f"{ids} array<int>, {decoded} binary", "pieces")

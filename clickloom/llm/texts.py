@@ -16,10 +16,11 @@ PIECE_BYTES = 1 << 18
 PART_BYTES = 4 << 20
 
 
-def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], schema: str) -> DataFrame:
+def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], schema: str, cache: str | None = None) -> DataFrame:
     """``df`` with the columns of ``schema``, which ``make`` computes batch by batch.
 
-    Input columns that bear the name of a new column are replaced where they stand.
+    Input columns that bear the name of a new column are replaced where they stand. ``cache`` names the one of
+    the worker's ``CACHES`` that ``make`` uses; others are emptied.
     """
     ship(df.sparkSession)
     new = {f.name.lower(): f for f in T.StructType.fromDDL(schema)}
@@ -28,6 +29,9 @@ def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Arr
     made_names = {f.name for f in new.values()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, forget in CACHES.items():
+            if name != cache:
+                forget()
         try:
             for batch in batches:
                 for part in parts(batch):
@@ -46,13 +50,12 @@ def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(first, rows)
 
 
-AT_END: list[Callable[[], None]] = []
+# What workers keep from task to task, by name, and how to empty it.
+CACHES: dict[str, Callable[[], None]] = {}
 
 
 def tidy() -> None:
     """Give memory back when a task ends, as the worker lives on beside those of other operators."""
-    for forget in AT_END:
-        forget()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -86,4 +86,4 @@ def count_tokens(df: DataFrame, path: str, pattern: str, text: str = "text", n_b
             counts.append(len(parts) - 1 + sum(sum(map(known.__getitem__, cut(part))) for part in parts))
         return {n_bytes: pa.array(sizes, pa.int64()), n_tokens: pa.array(counts, pa.int64())}
 
-    return add_columns(df, make, f"{n_bytes} bigint, {n_tokens} bigint")
+    return add_columns(df, make, f"{n_bytes} bigint, {n_tokens} bigint", "pieces")
