@@ -70,13 +70,22 @@ def read_items(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
+ARRAY_CHARS = 32 << 20
+
+
 def write_json_arrays(df: DataFrame, path: str) -> None:
-    """Text files that each hold one JSON array of at most one Arrow batch of records."""
+    """Text files that each hold one JSON array of about ``ARRAY_CHARS`` characters, and a last smaller one per task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
         for pdf in batches:
-            if len(pdf):
-                yield pd.DataFrame({"value": ["[" + ",\n".join(pdf["j"]) + "]"]})
+            held.append(",\n".join(pdf["j"]))
+            size += len(held[-1])
+            if size >= ARRAY_CHARS:
+                yield pd.DataFrame({"value": ["[" + ",\n".join(h for h in held if h) + "]"]})
+                held, size = [], 0
+        if size:
+            yield pd.DataFrame({"value": ["[" + ",\n".join(h for h in held if h) + "]"]})
 
     arrays = df.select(F.to_json(F.struct(*df.columns)).alias("j")).mapInPandas(run, "value string")
     arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
