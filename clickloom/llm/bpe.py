@@ -301,12 +301,16 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     return add_columns(df, lambda batch: {decoded: run(batch.column(ids))}, f"{decoded} binary")
 
 
-def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``decode`` of ``encode`` in one pass, for a check of the round trip."""
+def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", keep: bool = True) -> DataFrame:
+    """``decode`` of ``encode`` in one pass, for a check of the round trip.
+
+    Workers ``keep`` the pieces they met from task to task, up to 200 MB each; in a job with other stages they
+    rather give them back.
+    """
     there, back = _encoder(df, path, pattern), _decoder(df, path)
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         lists = there(strings(batch.column(text)))
         return {ids: lists, decoded: back(lists)}
 
-    return add_columns(df, make, f"{ids} array<int>, {decoded} binary", "pieces")
+    return add_columns(df, make, f"{ids} array<int>, {decoded} binary", "pieces", keep)

@@ -16,11 +16,12 @@ PIECE_BYTES = 1 << 18
 PART_BYTES = 4 << 20
 
 
-def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], schema: str, cache: str | None = None) -> DataFrame:
+def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], schema: str, cache: str | None = None, keep: bool = True) -> DataFrame:
     """``df`` with the columns of ``schema``, which ``make`` computes batch by batch.
 
     Input columns that bear the name of a new column are replaced where they stand. ``cache`` names the one of
-    the worker's ``CACHES`` that ``make`` uses; others are emptied.
+    the worker's ``CACHES`` that ``make`` uses; others are emptied, and without ``keep`` that one too when a
+    task ends.
     """
     ship(df.sparkSession)
     new = {f.name.lower(): f for f in T.StructType.fromDDL(schema)}
@@ -38,6 +39,8 @@ def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Arr
                     made = make(part)
                     yield pa.RecordBatch.from_arrays([made[f.name] if f.name in made_names else part.column(f.name) for f in fields], names=[f.name for f in fields])
         finally:
+            if cache and not keep:
+                CACHES[cache]()
             tidy()
 
     return df.mapInArrow(run, T.StructType(fields))

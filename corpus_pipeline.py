@@ -52,7 +52,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding them gives its bytes back."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN, ids="ids", decoded="decoded")
+    coded = bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN, ids="ids", decoded="decoded", keep=False)
     whole = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return coded.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
 
