@@ -38,10 +38,11 @@ SPANS = "array<struct<kind: string, start: bigint, end: bigint, base: boolean>>"
 
 Span = tuple[int, int, str]
 
-# Possessive repeats: none of these can match after giving a character back.
+# Possessive repeats and a look behind: none of these can match after giving a character back, or from inside a
+# run of digits, so long runs take one pass.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NO_DIGIT = re.compile(r"[^0-9]+")
@@ -88,7 +89,8 @@ def base_spans(text: str) -> list[Span]:
 # --- Candidate spans -------------------------------------------------------------------------------
 
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|.", re.S)
-_NUMBERS = re.compile(r"[0-9(+][0-9 ().,/\[\]+_-]{5,}[0-9]")
+_NUMBERS = re.compile(r"[0-9 ().,/\[\]+_-]{7,}+")
+_FIRST = re.compile(r"[0-9(+]")
 _SIGNS = re.compile(r"[(\[{] ?(?:at|dot) ?[)\]}]| (?:dot|DOT) ")
 _AT = re.compile(r"@|[(\[{] ?at ?[)\]}]| (?:at|AT) ")
 _DOT = re.compile(r"\.|[(\[{] ?dot ?[)\]}]| (?:dot|DOT) ")
@@ -105,7 +107,12 @@ MARGIN = 64
 
 def regions(text: str, taken: list[Span]) -> list[tuple[int, int]]:
     """Stretches that may hold a candidate, free of base spans."""
-    found = [m.span() for m in _NUMBERS.finditer(text)]
+    found = []
+    for m in _NUMBERS.finditer(text):
+        first = _FIRST.search(m[0])
+        last = len(m[0].rstrip(" ().,/[]+_-"))
+        if first and last - first.start() >= 7:
+            found.append((m.start() + first.start(), m.start() + last))
     if any(x in text for x in ("at)", "at]", "at}", "dot", "DOT")):
         found += [(max(0, m.start() - MARGIN), m.end() + MARGIN) for m in _SIGNS.finditer(text)]
     if not found:

@@ -104,3 +104,8 @@ def test_training_and_empty_tables(rows):
     field = pii.train(empty)
     assert pii.find_pii(empty, field).count() == 0
     assert pii.train(rows([(1, None), (2, "call 555 1234"), (2, "")], "doc_id long, text string")).weights.shape == field.weights.shape
+
+
+def test_long_runs_take_one_pass(field):
+    text = "7" * 200_000 + " " + "(" * 200_000 + "+" * 100_000 + "- , " * 50_000
+    assert pii.base_spans(text) == [] == field.spans(text, [])
