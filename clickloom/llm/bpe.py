@@ -34,7 +34,7 @@ LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES = r"A-Za-zªµºÀ-ÖØ-öø-ɏ", r"0
 
 SHIFT = 20
 NONE = 1 << 62
-CACHED = 400_000
+CACHED = 250_000
 
 
 @dataclass(frozen=True)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, types as T
 from clickloom.session import ship
 
 PIECE_BYTES = 1 << 18
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
 
 def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], dict[str, pa.Array]], schema: str, cache: str | None = None, keep: bool = True) -> DataFrame:
