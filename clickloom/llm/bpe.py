@@ -34,7 +34,8 @@ LATIN_LETTERS, LATIN_NUMBERS, LATIN_SPACES = r"A-Za-zªµºÀ-ÖØ-öø-ɏ", r"0
 
 SHIFT = 20
 NONE = 1 << 62
-CACHED = 250_000
+# Pieces a worker remembers: in a job of its own, and beside other stages.
+CACHED, CACHED_BESIDE = 400_000, 250_000
 
 
 @dataclass(frozen=True)
@@ -219,11 +220,11 @@ def cutter(pattern: str, odd: tuple[str, str]) -> Pieces:
 class Remembered(dict):
     """Pieces met by this worker and what ``make`` gave for them; bounded, emptied when full."""
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, make, limit: int = CACHED):
+        self.make, self.limit = make, limit
 
     def __missing__(self, piece: str):
-        if len(self) >= CACHED:
+        if len(self) >= self.limit:
             self.clear()
         value = self.make(piece)
         if len(piece) <= 64:
@@ -231,14 +232,14 @@ class Remembered(dict):
         return value
 
 
-def remembered(key: str, make) -> Remembered:
+def remembered(key: str, make, limit: int = CACHED) -> Remembered:
     if key not in _KNOWN:
         _KNOWN.clear()
-        _KNOWN[key] = Remembered(make)
+        _KNOWN[key] = Remembered(make, limit)
     return _KNOWN[key]
 
 
-def _encoder(df: DataFrame, path: str, pattern: str):
+def _encoder(df: DataFrame, path: str, pattern: str, limit: int = CACHED):
     """A function from texts to a column of id lists."""
 
     def vocabulary():
@@ -250,7 +251,7 @@ def _encoder(df: DataFrame, path: str, pattern: str):
     def run(texts: list[str]) -> pa.ListArray:
         table, odd = sent.value
         cut = cutter(pattern, odd)
-        known = remembered("ids" + table.key, lambda piece: array("i", merge(piece.encode(), table)).tobytes())
+        known = remembered("ids" + table.key, lambda piece: array("i", merge(piece.encode(), table)).tobytes(), limit)
         found = [b"".join(map(known.__getitem__, cut(t))) for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(found))]))
@@ -307,7 +308,7 @@ def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text"
     Workers ``keep`` the pieces they met from task to task, up to 200 MB each; in a job with other stages they
     rather give them back.
     """
-    there, back = _encoder(df, path, pattern), _decoder(df, path)
+    there, back = _encoder(df, path, pattern, CACHED if keep else CACHED_BESIDE), _decoder(df, path)
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         lists = there(strings(batch.column(text)))
