@@ -2,9 +2,14 @@
 
 Lines (long ones: sentences) that hold a licensing word, with at most two others between them, form candidate
 blocks. A block is compressed alone and with each template as a raw Zstandard dictionary; the relative
-reduction in size ranks the templates. The best ones are confirmed by their exact wording: the words of the
-template that the block lacks and the words it has between them. A block is ``exact`` when there are none,
-``modified`` when it has at least ``COVER`` of the template's words, else ``mention`` without a license.
+reduction in size ranks the templates. All templates of which a block has enough words are confirmed by their
+exact wording: the words of the template that a stretch of the block lacks and the words it has between them. A
+stretch is ``exact`` when there are none, ``modified`` when it has at least ``COVER`` of the template's words,
+either with at most as many others between them as the template has words or in runs of ``RUN`` words on average.
+
+Every stretch of a block that does not overlap a better one is a span of its own, the most shared words less
+differences first, then the larger reduction. Lines with a licensing word outside of such spans are
+``mention`` without a license.
 
 Null and empty texts have no blocks. Whole texts are searched, however long. Starts and ends are code points,
 end exclusive. Repeated rows get equal results. A column that bears the name of the result is replaced.
@@ -12,7 +17,9 @@ end exclusive. Repeated rows get equal results. A column that bears the name of
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -70,6 +77,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 CUES = ("licen", "permission", "redistribut", "copyright", "public domain", "spdx", "rights reserved")
 COVER = 0.8
+RUN = 3
+# Among so many the reduction ranks the license of an unchanged wording; wordings are confirmed for all templates.
 CONFIRMED = 3
 GAP = 2
 LONG_LINE = 600
@@ -79,6 +88,7 @@ BLOCKS = (
 )
 _WORD = re.compile(r"[^\W_]+(?:[.\-/'][^\W_]+)*")
 _UNIT = re.compile(r"[^\n]+")
+_CLOSING = re.compile(r"[^\w\s]*")
 
 
 def units(text: str) -> list[tuple[int, int]]:
@@ -137,28 +147,86 @@ class Scanner:
         gains = [(1 - len(c.compress(data)) / size, -i) for i, (_, _, c) in enumerate(self.templates)]
         return [(g, -i) for g, i in sorted(gains, reverse=True)]
 
+    def align(self, template: int, block: list[str], lo: int, hi: int) -> tuple[int, int, int, list[str], list[str]] | None:
+        """(first, end, shared words, missing, extra) of the template's wording in ``block[lo:hi]``, if it is there."""
+        own = self.templates[template][1]
+        same = [m for m in SequenceMatcher(None, own, block[lo:hi], autojunk=False).get_matching_blocks() if m.size]
+        shared = sum(m.size for m in same)
+        if shared < COVER * len(own):
+            return None
+        first, end = lo + same[0].b, lo + same[-1].b + same[-1].size
+        if end - first - shared > len(own) and shared < RUN * len(same):
+            return None
+        held = {k for m in same for k in range(m.a, m.a + m.size)}
+        matched = {lo + k for m in same for k in range(m.b, m.b + m.size)}
+        return first, end, shared, [w for k, w in enumerate(own) if k not in held], [block[k] for k in range(first, end) if k not in matched]
+
+    def candidates(self, block: list[str], lo: int, hi: int) -> list[tuple]:
+        """(template, *alignment) of all templates in windows over ``block[lo:hi]`` and in the whole of it."""
+        have, out = Counter(block[lo:hi]), {}
+        for i, (_, own, _) in enumerate(self.templates):
+            bag, need = Counter(own), math.ceil(COVER * len(own) - 1e-9)
+            if sum(min(n, have[w]) for w, n in bag.items()) < need:
+                continue
+            # Every stretch of at most twice the template's words lies in one of the windows.
+            step = max(1, len(own) // 8)
+            windows = [(at, min(hi, at + 2 * len(own) + step)) for at in range(lo, max(lo + 1, hi - need + 1), step)]
+            hits = [0]
+            for k in range(lo, hi):
+                hits.append(hits[-1] + (block[k] in bag))
+            for a, b in dict.fromkeys([(lo, hi), *windows]):
+                if hits[b - lo] - hits[a - lo] < need:
+                    continue
+                near = Counter(w for w in block[a:b] if w in bag)
+                if sum(min(n, near[w]) for w, n in bag.items()) >= need:
+                    found = self.align(i, block, a, b)
+                    if found:
+                        out[(i, *found[:3])] = (i, *found)
+        return list(out.values())
+
+    def wordings(self, block: list[str], gains: dict[int, float]) -> list[tuple]:
+        """The confirmed alignments that do not overlap better ones, by their place in the block."""
+        out, open_ = [], [(0, len(block))]
+        while open_:
+            lo, hi = open_.pop()
+            chosen: list[tuple] = []
+            for c in sorted(self.candidates(block, lo, hi), key=lambda c: (-(c[3] - len(c[4]) - len(c[5])), -gains[c[0]], c)):
+                if all(c[2] <= first or c[1] >= end for _, first, end, *_ in chosen):
+                    chosen.append(c)
+            if chosen:
+                # What lies between them may hold wordings whose best alignment overlapped one of them.
+                chosen.sort(key=lambda c: c[1])
+                edges = [lo, *(x for c in chosen for x in c[1:3]), hi]
+                open_ += [(a, b) for a, b in zip(edges[::2], edges[1::2]) if a < b]
+                out += chosen
+        return sorted(out, key=lambda c: c[1])
+
     def judge(self, text: str) -> list[dict]:
         out = []
         for a, b in blocks(text):
-            block = words(text[a:b])
+            places = list(_WORD.finditer(text, a, b))
+            block = [m[0].lower() for m in places]
             ranked = self.rank(block)
-            found = {"license": None, "verdict": "mention", "start": a, "end": b, "gain": ranked[0][0] if ranked else 0.0, "missing": [], "extra": []}
-            best = None
-            for gain, i in ranked[:CONFIRMED]:
-                name, own, _ = self.templates[i]
-                same = [m for m in SequenceMatcher(None, own, block, autojunk=False).get_matching_blocks() if m.size]
-                shared = sum(m.size for m in same)
-                if shared < COVER * len(own):
-                    continue
-                matched = {k for m in same for k in range(m.b, m.b + m.size)}
-                missing_at = {k for m in same for k in range(m.a, m.a + m.size)}
-                missing = [w for k, w in enumerate(own) if k not in missing_at]
-                extra = [block[k] for k in range(min(matched), max(matched)) if k not in matched]
-                # The longest wording wins among those that hold; then the fewest differences.
-                score = (shared - len(missing) - len(extra), gain)
-                if best is None or score > best[0]:
-                    best = score, {"license": name, "verdict": "modified" if missing or extra else "exact", "gain": gain, "missing": missing, "extra": extra}
-            out.append(found | best[1] if best else found)
+            gains = {i: gain for gain, i in ranked}
+            at = a
+            for i, first, end, _, missing, extra in self.wordings(block, gains):
+                start, stop = places[first].start(), _CLOSING.match(text, places[end - 1].end(), b).end()
+                out += self.mentions(text, at, start)
+                verdict = "modified" if missing or extra else "exact"
+                out.append({"license": self.templates[i][0], "verdict": verdict, "start": start, "end": stop, "gain": gains[i], "missing": missing, "extra": extra})
+                at = stop
+            if at == a:
+                out.append({"license": None, "verdict": "mention", "start": a, "end": b, "gain": ranked[0][0] if ranked else 0.0, "missing": [], "extra": []})
+            else:
+                out += self.mentions(text, at, b)
+        return out
+
+    def mentions(self, text: str, start: int, end: int) -> list[dict]:
+        """The blocks of a stretch between confirmed wordings."""
+        out = []
+        for a, b in blocks(text[start:end]):
+            ranked = self.rank(words(text[start + a : start + b]))
+            out.append({"license": None, "verdict": "mention", "start": start + a, "end": start + b, "gain": ranked[0][0] if ranked else 0.0, "missing": [], "extra": []})
         return out
 
 

@@ -34,3 +34,20 @@ def test_compression_ranks_the_right_template_among_the_first():
         for w in wordings:
             first = scanner.rank(licenses.words(w))[: licenses.CONFIRMED]
             assert name in {scanner.templates[i][0] for _, i in first} and first[0][0] > 0.2
+
+
+def test_short_wordings_in_prose_and_several_in_a_block():
+    scanner = licenses.Scanner(TEMPLATES)
+    prose = "the material below was gathered by any person for the following purposes, subject to notice and conditions, without limitation of use or any changes in copies of the work "
+    for wording, name in (("Released under the MIT License", "MIT"), ("All rights reserved", "proprietary")):
+        text = prose + wording + " in all, including the right to publish, modify and distribute the software, and portions of it that are available under other terms in the file"
+        (found,) = scanner.judge(text)
+        assert (found["license"], found["verdict"], text[found["start"] : found["end"]]) == (name, "exact", wording)
+    text = "Copyright 2020 A. Writer\n" + MIT + "\n" + BSD + "\nReleased under the MIT License. All rights reserved.\nReleased under the MIT License."
+    found = scanner.judge(text)
+    assert [(x["license"], x["verdict"]) for x in found] == [(None, "mention"), ("MIT", "exact"), ("BSD-2-Clause", "exact"), ("MIT", "exact"), ("proprietary", "exact"), ("MIT", "exact")]
+    assert all(x["end"] <= y["start"] for x, y in zip(found, found[1:]))
+    changed = TEMPLATES["Apache-2.0"][1].replace("express or implied", "implied") + "\n" + BSD.replace("are met", "are all met")
+    assert [(x["license"], x["verdict"]) for x in scanner.judge(changed)] == [("Apache-2.0", "modified"), ("BSD-2-Clause", "modified")]
+    wide = MIT.replace("to deal in", "the river runs slowly past old mills and quiet gardens " * 8 + "to deal in")
+    assert [(x["license"], x["verdict"]) for x in scanner.judge(wide)] == [("MIT", "modified")]
