@@ -10,6 +10,11 @@ An n-gram lies within one word; the word's ends count as letters. Letters are lo
 language with more training text, then to the smaller name. Null texts and texts without a letter are
 ``und`` with score 0, as is every text when nothing was learned. A text with letters but without an n-gram
 gets the language with most training text, with score 0. Rows whose language is null do not train.
+
+The cut at ``SHARE`` lowers scores, the more the richer a language is. So whether a text is ``foreign``, in no
+learned language, is told by what share of a language's own training n-grams passed the cut (``reach``): its
+score must be less than ``LEAST`` of that, on so many n-grams that chance would do it to a text of the language
+once in ``e**EVIDENCE`` times. A text with fewer n-grams is undecided and not foreign; one without a letter is.
 """
 
 from __future__ import annotations
@@ -31,6 +36,10 @@ SLOT_BITS = 19
 LANGUAGES = 1024
 CHUNK = 1 << 18
 UNKNOWN = "und"
+LEAST = 0.2
+EVIDENCE = 14
+# Even where no n-gram was cut, new text of a language has others than its training text.
+MOST_REACH = 0.9
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ALPHA: list[np.ndarray] = []
 
@@ -110,11 +119,13 @@ def slots(name: np.ndarray) -> Iterator[np.ndarray]:
 
 @dataclass(frozen=True)
 class Filters:
-    """Languages, ordered by training text; ``table`` holds a bitmask of 64 languages per slot and word; ``false`` the chance of a false hit."""
+    """Languages, ordered by training text; ``table`` holds a bitmask of 64 languages per slot and word; ``false`` the chance of a false hit;
+    ``reach`` the share of the training n-grams of a language that are in its filter."""
 
     languages: list[str]
     table: np.ndarray
     false: np.ndarray
+    reach: np.ndarray
 
 
 def train(df: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
@@ -126,10 +137,13 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     totals = sorted(totals, key=lambda r: (-r["n"], r["lang"]))
     languages = [r["lang"] for r in totals]
     table = np.zeros((1 << SLOT_BITS, max(1, -(-len(languages) // 64))), np.uint64)
+    reach = np.zeros(len(languages))
     if languages:
         least = F.create_map(*[F.lit(x) for r in totals for x in (r["lang"], r["n"] * SHARE)])
         number = F.create_map(*[F.lit(x) for i, name in enumerate(languages) for x in (name, i)])
-        chosen = counted.where(F.col("n") >= least[F.col("lang")]).select("gram", number[F.col("lang")].alias("number"))
+        chosen = counted.where(F.col("n") >= least[F.col("lang")]).select("gram", "n", number[F.col("lang")].alias("number"))
+        for r in chosen.groupBy("number").agg(F.sum("n").alias("n")).collect():
+            reach[r["number"]] = r["n"] / totals[r["number"]]["n"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -138,19 +152,29 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
                 for slot in slots(batch.column("gram").to_numpy().view(np.uint64)):
                     yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int64)), pa.array((number_ // np.uint64(64)).astype(np.int64)), pa.array(bits)], names=["slot", "word", "bits"])
 
-        filled = chosen.mapInArrow(run, "slot bigint, word bigint, bits bigint").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        filled = chosen.select("gram", "number").mapInArrow(run, "slot bigint, word bigint, bits bigint").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
         table[filled["slot"].to_numpy(), filled["word"].to_numpy()] = filled["bits"].to_numpy().view(np.uint64)
     fill = np.array([((table[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(languages))])
-    return Filters(languages, table, fill**HASHES)
+    return Filters(languages, table, fill**HASHES, reach)
+
 
+def is_foreign(score: np.ndarray, n: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Whether ``n`` n-grams of which a share of ``score`` are in the filter are too few hits for a language of this reach."""
+    want = np.clip(reach, 1e-9, MOST_REACH)
+    got = np.clip(score, 1e-12, 1 - 1e-12)
+    # The chance of no more hits is at most exp(-n * divergence).
+    divergence = got * np.log(got / want) + (1 - got) * np.log((1 - got) / (1 - want))
+    return (score < LEAST * reach) & (n * divergence >= EVIDENCE)
 
-def identify(df: DataFrame, filters: Filters, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``df`` with the language of each whole text and, as score, the share of its n-grams that the language has."""
+
+def identify(df: DataFrame, filters: Filters, text: str = "text", lang_pred: str = "lang_pred", score: str = "score", foreign: str | None = None) -> DataFrame:
+    """``df`` with the language of each whole text and, as score, the share of its n-grams that the language has;
+    on demand also whether it is in no learned language."""
     sent = df.sparkSession.sparkContext.broadcast(filters)
 
     def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         f = sent.value
-        names, scores = [], []
+        names, scores, outside = [], [], [np.zeros(0, bool)]
         for _, chunk in chunks(strings(batch.column(text))):
             doc, name, some = grams(chunk)
             n = np.bincount(doc, minlength=len(chunk))
@@ -169,6 +193,11 @@ def identify(df: DataFrame, filters: Filters, text: str = "text", lang_pred: str
                 known = some[row] and len(f.languages)
                 names.append(f.languages[best[row]] if known else UNKNOWN)
                 scores.append(float(true[best[row], row] / n[row]) if known and n[row] else 0.0)
-        return {lang_pred: pa.array(names, pa.string()), score: pa.array(scores, pa.float64())}
-
-    return add_columns(df, make, f"{lang_pred} string, {score} double")
+            if foreign and len(f.languages):
+                outside.append(~some | is_foreign(np.array(scores[-len(chunk) :]), n, f.reach[best]))
+            elif foreign:
+                outside.append(np.ones(len(chunk), bool))
+        made = {lang_pred: pa.array(names, pa.string()), score: pa.array(scores, pa.float64())}
+        return made | ({foreign: pa.array(np.concatenate(outside))} if foreign else {})
+
+    return add_columns(df, make, f"{lang_pred} string, {score} double" + (f", {foreign} boolean" if foreign else ""))

@@ -16,18 +16,16 @@ from clickloom.llm.sift import without
 from clickloom.llm.texts import free_name
 from clickloom.session import materialise, work_path
 
-# A text of which the chosen language has less than this share of the n-grams is in no learned language.
-LEAST_SCORE = 0.2
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the documents with a language, rejects those without a letter or in no learned language, and
-    names the language where it is null."""
+    names the language where it is null. A document with a letter and a language is in a learned one and stays;
+    one without a language stays unless its n-grams are enough to tell that it is in no learned language."""
     filters = langid.train(docs.select("text", "lang"))
-    lang, score = free_name(docs, "told_lang"), free_name(docs, "told_score")
-    told = langid.identify(docs, filters, lang_pred=lang, score=score)
-    kept = told.where((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= LEAST_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", lang)).drop(lang, score)
+    lang, score, foreign = (free_name(docs, x) for x in ("told_lang", "told_score", "told_foreign"))
+    told = langid.identify(docs, filters, lang_pred=lang, score=score, foreign=foreign)
+    kept = told.where((F.col(lang) != langid.UNKNOWN) & (F.col("lang").isNotNull() | ~F.col(foreign)))
+    return kept.withColumn("lang", F.coalesce("lang", lang)).drop(lang, score, foreign)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from clickloom.llm import pii
+from clickloom.llm import langid, pii
 from tests.llm.test_decontaminate import brute
 from tests.llm.test_neardup import classes
 
@@ -69,3 +69,21 @@ def test_run_and_empty_table(spark, folder, tmp_path):
     spark.read.parquet(f"{root}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{root}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clean_documents_stay_where_the_share_cuts(spark):
+    rng = random.Random(4)
+    common = ["the", "house", "water", "morning", "people"]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rare = ["".join(rng.choices(letters, k=8)) for _ in range(20_000)]
+    docs = [(i, " ".join(w for r in rare[40 * i : 40 * i + 40] for w in (r, rng.choice(common))), "en") for i in range(500)]
+    docs += [(1000, "A.", "en"), (1001, "A.", None), (1002, " ".join(rare[:6]), "en"), (1003, " ".join(rare[6:9]), None), (1004, "12 ... 3", "en")]
+    docs += [(1005, "яяжж шшщщ ююээ ыыъъ " * 20, None), (1006, docs[7][1], None), (1007, None, "en")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    filters = langid.train(df)
+    assert filters.languages == ["en"] and 0.2 < filters.reach[0] < 0.9
+    (scored,) = langid.identify(df.where("doc_id = 1002"), filters).collect()
+    assert scored.score < 0.2
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, df, "").collect()}
+    assert sorted(d for d in kept if d >= 1000) == [1000, 1001, 1002, 1003, 1006] and len(kept) == 505
+    assert set(kept.values()) == {"en"}
