@@ -108,3 +108,15 @@ def test_components(rows):
     want = {x: find(x) for x in top if any(x in link and link[0] != link[1] for link in links)}
     assert {r.id: r.class_id for r in components(rows(links, "a long, b long")).collect()} == want
     assert components(rows([], "a long, b long")).count() == 0
+
+
+def test_long_bands_miss_no_more_than_short_ones():
+    short, long = neardup.BANDS, neardup.LONG_BANDS
+    assert (1 - 0.8**long.rows) ** long.count <= (1 - 0.8**short.rows) ** short.count
+    # 1000 pairs of which each shares 80 of 100 shingles.
+    rng = np.random.default_rng(5)
+    names = rng.integers(0, 2**63, (1000, 100)).astype(np.uint64)
+    both = np.stack([names[:, :90], np.concatenate([names[:, :80], names[:, 90:]], 1)], 1).reshape(2000, 90)
+    signature = neardup.bag_minhash(np.repeat(np.arange(2000), 90), both.ravel(), np.ones(both.size, np.int64), 2000, long.registers)
+    bands = neardup.band_names(signature, long).reshape(1000, 2, -1)
+    assert (~(bands[:, 0] == bands[:, 1]).any(1)).sum() <= 2
