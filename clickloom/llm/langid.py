@@ -10,6 +10,7 @@ An n-gram lies within one word; the word's ends count as letters. Letters are lo
 language with more training text, then to the smaller name. Null texts and texts without a letter are
 ``und`` with score 0, as is every text when nothing was learned. A text with letters but without an n-gram
 gets the language with most training text, with score 0. Rows whose language is null do not train.
+More than ``LANGUAGES`` different languages are refused with an error: the filters take 4 MB for 64 of them.
 
 The cut at ``SHARE`` lowers scores, the more the richer a language is. So whether a text is ``foreign``, in no
 learned language, is told by what share of a language's own training n-grams passed the cut (``reach``): its
