@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickloom.llm import bpe, chat, decontaminate, langid, licenses, neardup, pii, quality, suffixes, tokens
+from clickloom.llm import bpe, chat, decontaminate, langid, licenses, manifest, neardup, pii, quality, suffixes, tokens, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -169,3 +169,68 @@ def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join(names, ",").alias("licenses"),
         F.array_join(spans, ",").alias("spans"),
     )
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    return manifest.manifest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified", "pos")
+
+
+_FIELDS = " || ".join(f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}"))
+_CRC_STEP = "CASE WHEN {c} & 1 = 1 THEN xor({c} >> 1, 3988292384) ELSE {c} >> 1 END"
+sql(
+    "op11_merkle_manifest",
+    f"""
+WITH RECURSIVE crc(i, k, c) AS (
+ SELECT i, 0, CAST(i AS BIGINT) FROM range(256) t(i) UNION ALL SELECT i, k + 1, {_CRC_STEP.format(c="c")} FROM crc WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS cells FROM crc WHERE k = 8),
+leaves AS (
+ SELECT doc_id, source, sha256({_FIELDS.format(text="text")}) AS leaf, sha256({_FIELDS.format(text="replace(text, chr(10), '')")}) AS broken,
+  xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+   lambda a, x: xor(a >> 8, cells[(xor(a, x) & 255) + 1])), 4294967295) AS crc
+ FROM documents, crc_table),
+placed AS (
+ SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree FROM leaves),
+nodes(tree, level, pos, h, n) AS (
+ SELECT tree, 0, pos, leaf, count(*) OVER (PARTITION BY tree) FROM placed
+ UNION ALL
+ SELECT tree, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 2) // 3 FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 3),
+subroots AS (SELECT tree, h AS subroot FROM nodes WHERE n = 1),
+tops(level, pos, h, n) AS (
+ SELECT 0, tree, subroot, (SELECT count(*) FROM subroots) FROM subroots
+ UNION ALL
+ SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 2) // 3 FROM tops WHERE n > 1 GROUP BY level, pos // 3),
+sides AS (
+ SELECT a.tree, a.level, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+  coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+ FROM (SELECT * FROM nodes UNION ALL SELECT NULL, * FROM tops) a
+ JOIN (SELECT * FROM nodes UNION ALL SELECT NULL, * FROM tops) b
+  ON a.tree IS NOT DISTINCT FROM b.tree AND a.level = b.level AND a.pos // 3 = b.pos // 3
+ WHERE a.n > 1 GROUP BY a.tree, a.level, a.pos),
+steps AS (
+ SELECT p.tree, p.pos, s.level AS step, l, r FROM placed p JOIN sides s ON s.tree = p.tree AND s.pos = p.pos // CAST(power(3, s.level) AS BIGINT)
+ UNION ALL
+ SELECT p.tree, p.pos, 1000 + s.level, l, r FROM placed p JOIN sides s ON s.tree IS NULL AND s.pos = p.tree // CAST(power(3, s.level) AS BIGINT)),
+proofs AS (SELECT tree, pos, string_agg(l || r, '' ORDER BY step) AS siblings, list([l, r] ORDER BY step) AS way FROM steps GROUP BY tree, pos),
+folded AS (
+ SELECT p.doc_id, p.leaf, subroot, (SELECT h FROM tops WHERE n = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256, p.pos,
+  list_reduce([[CASE WHEN crc % 2 = 0 THEN coalesce(broken, leaf) ELSE leaf END]] || coalesce(way, []), lambda a, x: [sha256(x[1] || a[1] || x[2])])[1] AS folded_root
+ FROM placed p JOIN subroots s USING (tree) LEFT JOIN proofs w ON w.tree = p.tree AND w.pos = p.pos)
+SELECT *, folded_root = root AS verified FROM folded""",
+)
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    labels = table(spark, sf, "labels").select("doc_id", "toxic").where(~held_out)
+    tagged = toxicity.tag(docs.withColumn("held_out", held_out), toxicity.train(docs, labels))
+    return tagged.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").alias("n_spans"), "spans")
