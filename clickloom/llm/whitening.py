@@ -18,6 +18,7 @@ would not fit in 64 bits. An empty table gives no rows. Columns besides the two
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -170,26 +171,31 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
-def _sum_up(df: DataFrame, add: Callable[[np.ndarray], np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
-    """The sum of ``add`` over blocks of ``x``: one array for each task, added row by row by Spark."""
+def _sum_up(df: DataFrame, add: Callable[[np.ndarray], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
+    """The sum of ``add``, a matrix, over blocks of ``x``: one for each task, whose rows Spark brings together."""
     ship(df.sparkSession)
-    width = shape[-1]
-    kind = {"f": pa.float64(), "i": pa.int64()}[add(np.zeros((0, width), np.int64)).dtype.kind]
+    exact = add(np.zeros((0, shape[1]), np.int64)).dtype.kind == "i"
+    kind = "decimal(38,0)" if exact else "double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(shape, kind.to_pandas_dtype())
+        total = np.zeros(shape, np.int64 if exact else float)
         for batch in batches:
             if batch.num_rows:
-                total += add(_matrix(batch.column("x"))).reshape(shape)
-        cells = np.arange(total.size)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total.ravel())], names=["cell", "value"])
-
-    name = "double" if kind == pa.float64() else "decimal(38,0)"
-    parts = df.select("x").mapInArrow(run, f"cell bigint, value {'double' if kind == pa.float64() else 'bigint'}")
-    out = np.zeros(shape, object if kind == pa.int64() else float).ravel()
-    for row in parts.groupBy("cell").agg(F.sum(F.col("value").cast(name)).alias("value")).collect():
-        out[row["cell"]] = int(row["value"]) if kind == pa.int64() else row["value"]
-    return out.reshape(shape)
+                total += add(_matrix(batch.column("x")))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(shape[0])), pa.array(list(total))], names=["row", "cells"])
+
+    def join(parts: pa.Table) -> pa.Table:
+        cells = _matrix(parts.column("cells").combine_chunks())
+        total = (cells.astype(object) if exact else cells).sum(0)
+        joined = pa.array([[Decimal(int(c)) for c in total]], pa.list_(pa.decimal128(38))) if exact else pa.array([total])
+        return pa.table({"row": parts.column("row")[:1], "cells": joined})
+
+    parts = df.select("x").mapInArrow(run, f"row bigint, cells array<{'bigint' if exact else 'double'}>")
+    joined = parts.groupBy("row").applyInArrow(join, f"row bigint, cells array<{kind}>")
+    out = np.zeros(shape, object if exact else float)
+    for row in joined.collect():
+        out[row["row"]] = [int(c) for c in row["cells"]] if exact else row["cells"]
+    return out
 
 
 def totals(fit: DataFrame, d: int) -> list[int]:
