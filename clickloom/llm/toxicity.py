@@ -8,16 +8,18 @@ token is toxic. What they add up to in a document, their density and their maxim
 by a logistic function fitted to the labels. So a mark that clean documents have by chance now and then condemns
 nobody.
 
-Tokens with a mark and their neighbours are tagged. A run of other words between them is one factor of the chain, the power of one matrix, so
-the sums are those of the whole text however long it is, and no text is cut.
+Tokens with a mark and their neighbours are tagged. A run of other words between them is one factor of the chain,
+the power of one matrix, so the sums are those of the whole text however long it is, and no text is cut. Only in
+fitting, a run of over ``APART`` such words counts as the end of a chain.
 
-The model is fitted to at most ``SAMPLE`` labelled documents of either class, those with the smallest hashes of
-their ids; the shares of the classes are counted over all labels. It holds at most ``MARKS`` marks.
+The model is fitted to some ``SAMPLE`` labelled documents of either class (all, where there are no more), those
+whose ids have a hash below a limit; the shares of the classes are counted over all labels. It holds at most
+``MARKS`` marks.
 
 Defined cases. A null text counts as empty; an empty text and one without marks have the score of no evidence and
-no spans. Label rows without a value are not used; of several labels of one id the highest counts, of several
-labelled texts with one id the first in order. Without labels of both classes there are no marks, and all documents have the
-share of toxic labels (one half without any) as their score. Repeated rows are scored alike. Further columns stay;
+no spans. Label rows without a value are not used; of several labels of one id the highest counts, of
+several labelled texts with one id the first in order. Without labels of both classes there are no marks, and all
+documents have the share of toxic labels (one half without any) as their score. Repeated rows are scored alike. Further columns stay;
 those that bear the name of a new one give way to it.
 """
 
@@ -31,7 +33,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.llm.texts import add_columns, mix, name_spans, pieces, prefix_sums
-from clickloom.operators.ordering import top_n
 from clickloom.session import materialise, ship
 
 SAMPLE = 4000
@@ -40,6 +41,7 @@ BEGINNINGS = (4, 5, 6, 7, 8)  # bytes
 LEAST_GAIN = 16.0  # log-likelihood ratio of a mark
 LEAST_RATIO = 4.0  # how many times as often toxic documents have it
 NEAR = 2
+APART = 16
 STEPS = 60
 _WHOLE = np.uint64(0x5851F42D4C957F2D)
 
@@ -208,8 +210,20 @@ def path_counts(chains: Chains, tags: np.ndarray) -> np.ndarray:
     return np.array([tags.sum(), (tags & (apart | ~before)).sum(), leaving + (before & ~apart & ~tags).sum(), (tags & before & ~apart).sum()], float)
 
 
+def cut(chains: Chains, toxic: np.ndarray) -> tuple[Chains, np.ndarray]:
+    """The chains cut at runs of over ``APART`` untagged words, which then open a chain, and the labels of the parts."""
+    size = np.diff(chains.first)
+    opens = chains.gap > APART
+    opens[chains.first[:-1][size > 0]] = True
+    start = np.flatnonzero(opens)
+    text = np.repeat(np.arange(len(size)), size)[start]
+    ends = np.append(text[1:] != text[:-1], True) if len(text) else np.zeros(0, bool)
+    return Chains(np.append(start, len(chains.gap)), chains.gap, np.where(ends, chains.tail[text], 0), chains.words[text], chains.token, chains.mark, chains.start, chains.end), toxic[text]
+
+
 def fit_field(chains: Chains, toxic: np.ndarray, marks: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the marks and of ``shift``: greatest likelihood of the tags, with a quadratic penalty."""
+    chains, toxic = cut(chains, toxic)
     tags = np.repeat(toxic, np.diff(chains.first))
     marked = np.zeros(len(tags), bool)
     marked[chains.token] = True
@@ -316,6 +330,11 @@ def _collect_chains(sample: DataFrame, names: np.ndarray) -> tuple[Chains, np.nd
     return _joined(parts), np.concatenate([np.array(r["toxic"], bool) for r in rows])
 
 
+def _share(sample: int, count: int) -> int:
+    """The limit of hashes in 32 bits below which some ``sample`` of ``count`` ids lie."""
+    return 1 << 32 if count <= sample else (sample << 32) // count
+
+
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Model:
     """A model from the documents that ``labels`` (``doc_id`` and a label, toxic if above 0) marks."""
     ship(docs.sparkSession)
@@ -329,11 +348,16 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     prior = Model(none.astype(np.uint64), none, np.zeros(4), np.array([np.log(share / (1 - share)), 0.0, 0.0, 0.0]))
     if not bad or not good:
         return prior
-    chosen = top_n(known, ["toxic"], [F.xxhash64("doc_id"), F.col("doc_id")], sample).select("doc_id", "toxic")
-    # At most two times ``sample`` ids.
-    texts = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32))
+    limit = F.when(F.col("toxic"), _share(sample, bad)).otherwise(_share(sample, good))
+    chosen = materialise(known.where(place < limit))
+    taken = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    bad_taken, good_taken = taken.get(True, 0), taken.get(False, 0)
+    if not bad_taken or not good_taken:
+        return prior
+    few = bad_taken + good_taken <= 4 * sample  # nearly sure
+    texts = docs.join(F.broadcast(chosen) if few else chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     texts = materialise(texts)
-    bad_taken, good_taken = min(bad, sample), min(good, sample)
     names = pick_marks(count_marks(texts), bad_taken, good_taken)
     if not len(names):
         return prior
@@ -350,7 +374,9 @@ def tag_texts(column: pa.Array, model: Model) -> tuple[np.ndarray, pa.Array]:
     for _, offsets, data in pieces(column):
         chains = chains_of(offsets, data, model.names)
         _, probability = sums(chains, evidence_of(chains, model.weights), model.shift)
-        scores.append(1 / (1 + np.exp(-np.clip(summaries(chains, probability) @ model.score, -700, 700))))
+        # Column by column, so that equal texts have equal scores whatever batch they are in.
+        logit = sum(x * c for x, c in zip(summaries(chains, probability).T, model.score))
+        scores.append(1 / (1 + np.exp(-np.clip(logit, -700, 700))))
         bad = np.flatnonzero(probability >= 0.5)
         text = np.searchsorted(chains.first, bad, "right") - 1
         sizes.append(np.bincount(text, minlength=len(offsets) - 1))
