@@ -7,6 +7,7 @@ import sys
 import zlib
 
 import duckdb
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -41,7 +42,7 @@ def run(spark):
 
 def test_all_are_registered():
     names = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
-    assert names == list(range(1, 11)) and set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert names == list(range(1, 14)) and set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -110,6 +111,31 @@ def test_op10(run, docs):
         assert got[d] == {"doc_id": d, "n_bytes": n, "n_removed": removed, "n_spans": spans, "kept_sha256": sha(kept)}
 
 
+def test_op12(spark):
+    from tests.llm.test_whitening import same
+
+    rows = duckdb.sql(f"SELECT vec_id, embedding FROM '{SF}/embeddings.parquet'").fetchall()
+    got = entry.queries()["op12_embedding_whitening"](spark, SF).collect()
+    x = np.floor(256 * np.array([v for _, v in rows])).astype(np.int64)
+    fit = np.unique(x, axis=0)
+    n, away = len(fit), x - fit.mean(0)
+    values, axes = np.linalg.eigh(np.cov(fit.T, bias=True))
+    deviation = ((n * x - fit.sum(0)) ** 2).sum(1)
+    want = [(i, k + 1, n, int(deviation[at]), abs(away[at] @ axes[:, -1 - k]) / values[-1 - k] ** 0.5, values[-1 - k] / values.sum()) for at, (i, _) in enumerate(rows) for k in range(4)]
+    same(got, want)
+    assert got[0]["identity_error"] < 1e-9
+
+
+def test_op13(spark, docs):
+    toxic = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{SF}/labels.parquet'").fetchall())
+    got = {r["doc_id"]: r for r in entry.queries()["op13_toxicity"](spark, SF).collect()}
+    assert set(got) == {d for d, _, _ in docs}
+    for d, r in got.items():
+        assert r["held_out"] == (zlib.crc32(str(d).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
+    held = [d for d in toxic if got[d]["held_out"]]
+    assert sum(got[d]["predicted"] == toxic[d] for d in held) >= 0.8 * len(held)
+
+
 def test_pipeline(spark, docs):
     rows = entry.queries()["pipeline"](spark, SF).collect()
     assert 0 < len(rows) < len(docs) and all(r.round_trip for r in rows)
