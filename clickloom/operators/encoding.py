@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.collections import rounded, scaled
+from clickloom.functions.collections import rounded
 from clickloom.functions.ids import embedding_article_id
 from clickloom.operators.cleaning import column_or_blank, drop_blank, embedding_text
 from clickloom.functions.text import tokens
-from clickloom.session import spread
+from clickloom.session import spread, use_all_cores
 
 BATCH = 64
 Encoder = Callable[[list[str]], np.ndarray]
@@ -22,42 +25,53 @@ Encoder = Callable[[list[str]], np.ndarray]
 DIMENSION = 64
 
 
-def hashed_vector(text: Column, dim: int = DIMENSION) -> Column:
-    """Signed hashed token counts scaled to length one, as Spark expressions. Stands in where no model is installed."""
-    digest = F.transform(tokens(text), F.md5)
-    places = F.transform(
-        digest,
-        lambda d: F.struct(
-            (F.conv(F.substring(d, 1, 8), 16, 10).cast("bigint") % dim).cast("int").alias("at"),
-            F.when(F.substring(d, 9, 1) < "8", 1.0).otherwise(-1.0).alias("sign"),
-        ),
-    )
-    start = F.array_repeat(F.lit(0.0), dim)
-    return scaled(F.aggregate(places, start, lambda acc, p: F.transform(acc, lambda x, i: F.when(i == p["at"], x + p["sign"]).otherwise(x))))
+def hashed_vectors(df: DataFrame, text: str, dim: int = DIMENSION) -> DataFrame:
+    """``text`` replaced by signed hashed token counts scaled to length one; null for null. Stands in
+    where no model is installed.
+
+    Tokens are cut out by Spark; each batch digests its distinct tokens once and adds up all its rows at a time.
+    """
+    keep = [f for f in df.schema.fields if f.name not in (text, "embedding")]
+    schema = T.StructType(keep + [T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            missing = batch.column(text).is_null()
+            words = pc.fill_null(batch.column(text), pa.scalar([], pa.list_(pa.string())))
+            row = pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
+            coded = words.flatten().dictionary_encode()
+            digests = [md5(w.encode()).hexdigest() for w in coded.dictionary.to_pylist()]
+            place = np.array([int(d[:8], 16) % dim for d in digests], np.int64)
+            sign = np.array([1.0 if d[8] < "8" else -1.0 for d in digests])
+            token = coded.indices.to_numpy(zero_copy_only=False)
+            sums = np.bincount(row * dim + place[token], sign[token], batch.num_rows * dim).astype(float).reshape(-1, dim)
+            size = np.sqrt((sums * sums).sum(1))[:, None]
+            sums = np.divide(sums, size, out=sums, where=size > 0)
+            vectors = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * dim), pa.array(sums.ravel()), mask=missing)
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), vectors], names=schema.names)
+
+    return use_all_cores(df).select(*(f.name for f in keep), tokens(F.col(text)).alias(text)).mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] | None = None, batch: int = BATCH) -> DataFrame:
     """Replace ``text`` by its ``embedding``: hashed token counts, or the vectors of a model.
 
-    ``make_encoder`` is called once per task and its result with batches of texts. Rows are then spread evenly
-    first, in as many parts as their number asks for, because a model costs far more than moving a text.
+    ``make_encoder`` is called once per Python worker and its result with batches of texts of about equal length
+    (a null text is empty). Rows are then spread evenly first, in as many parts as their number asks for, because a
+    model costs far more than moving a text.
     """
     if make_encoder is None:
-        return df.withColumn("embedding", hashed_vector(F.col(text))).drop(text)
-    keep = [f for f in df.schema.fields if f.name != text]
+        return hashed_vectors(df, text)
+    keep = [c for c in df.columns if c not in (text, "embedding")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make_predict() -> Callable[[np.ndarray], np.ndarray]:
         encoder = make_encoder()
-        for pdf in batches:
-            texts = pdf.pop(text).tolist()
-            vectors: list[np.ndarray] = []
-            for start in range(0, len(texts), batch):
-                vectors.extend(np.asarray(encoder(texts[start : start + batch]), dtype="float64"))
-            yield pdf.assign(embedding=vectors)
+        return lambda texts: np.asarray(encoder(list(texts)), dtype="float64")
 
-    schema = T.StructType(keep + [T.StructField("embedding", T.ArrayType(T.DoubleType()))])
-    names = [f.name for f in keep]
-    return spread(df.select(*names, text), *names, rows=df.count()).mapInPandas(run, schema)
+    model = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch)
+    rows = df.select(*keep, F.coalesce(text, F.lit("")).alias(text))
+    rows = spread(rows, *keep, rows=df.count()).sortWithinPartitions(F.length(text))
+    return rows.select(*keep, model(F.col(text)).alias("embedding"))
 
 
 def with_embedding_ids(articles: DataFrame) -> DataFrame:

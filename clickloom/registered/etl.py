@@ -372,6 +372,30 @@ def embed_articles(spark, sf):
     return rows.where(F.col("value") != 0).select("article_id", F.col("place").cast("bigint").alias("place"), F.round("value", 6).alias("value"))
 
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def letter_counts():
+    """An encoder for the slot of a model: how often each letter occurs in the text."""
+
+    def encode(texts: list[str]) -> list[list[float]]:
+        return [[float(t.count(c)) for c in _LETTERS] for t in texts]
+
+    return encode
+
+
+@query(
+    "embed_with_encoder",
+    f"""SELECT article_id, i - 1 AS place, CAST(length(text) - length(replace(text, substr('{_LETTERS}', CAST(i AS INTEGER), 1), '')) AS DOUBLE) AS value
+ FROM dtext CROSS JOIN range(1, 27) t(i)""",
+)
+def embed_with_encoder(spark, sf):
+    """The encoder slot, with an encoder given from outside."""
+    vectors = encoding.encode(tables.document_texts(spark, sf), "text", letter_counts)
+    rows = vectors.select("article_id", F.posexplode("embedding").alias("place", "value"))
+    return rows.select("article_id", F.col("place").cast("bigint").alias("place"), "value")
+
+
 @query(
     "embedding_items",
     f"""SELECT article_id, title, url, category, source, abstract, pub_date, fetched_at, data_source, place, value, embedding_dim FROM (

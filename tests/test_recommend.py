@@ -132,6 +132,37 @@ def test_sparse_neighbours_equal_brute_force(spark):
         assert [e for e, _ in got[d]] == order
 
 
+@pytest.mark.parametrize("chunk", [7, 2048])
+def test_pruned_text_search_equals_brute_force_and_skips(spark, chunk):
+    rng = random.Random(2)
+    texts = []
+    for i in range(240):  # three vocabularies with a few words in common; a third of all texts are nearly alike
+        words = [f"{'abc'[i % 3]}{j}" for j in range(60)] + ["shared", "common"]
+        texts.append((f"d{i:03d}", " ".join(words[:40] + ["x%d" % (i % 5)] if i % 3 == 0 else rng.choices(words, k=rng.randrange(1, 60)))))
+    rows = materialise(terms.tfidf_rows(spark.createDataFrame(texts, "article_id string, text string"), stop_words=[])[0])
+    clustered = collected(neighbours.sparse_neighbours(rows, k=10, chunk_rows=chunk, cluster_rows=20))
+    assert clustered == collected(neighbours.sparse_neighbours(rows, k=10, chunk_rows=2048))
+    few = spark.createDataFrame([(f"d{i:03d}",) for i in (0, 1, 2, 100)] + [("none",)], "article_id string")
+    assert collected(neighbours.sparse_neighbours(rows, few, k=10, chunk_rows=chunk, cluster_rows=20)) == {d: clustered[d] for d in ("d000", "d001", "d002", "d100")}
+
+    known, matrix = neighbours._text_pivots(rows, 12)
+    assigned = materialise(rows.mapInPandas(neighbours._assign_texts(known, matrix), "article_id string, terms array<int>, weights array<double>, _g int"))
+    groups = np.array(sorted(r["_g"] for r in assigned.select("_g").distinct().collect()), np.int32)
+    index = spark.sparkContext.broadcast(neighbours.term_ceilings(assigned, 12, 1024))
+    floors = {d: near[9][1] if len(near) == 10 else 0.0 for d, near in clustered.items()}
+    floor = F.element_at(F.create_map(*[F.lit(x) for kv in floors.items() for x in kv]), F.col("article_id"))
+    asked = assigned.select(F.col("article_id").alias("seed_id"), F.col("terms").alias("q_terms"), F.col("weights").alias("q_weights"), floor.alias("q_floor"), F.col("_g").alias("_home"))
+    plan = neighbours._plan_text_visits(index, groups)
+    visits = asked.mapInPandas(plan, "seed_id string, q_terms array<int>, q_weights array<double>, q_floor double, _g int")
+    assert 0 < visits.count() < 0.5 * len(texts) * (len(groups) - 1)
+
+
+def test_shared_places_only_raise_the_ceilings(spark):
+    rows = spark.createDataFrame([("a", [0, 5], [0.6, 0.8], 0), ("b", [1, 4], [0.1, 0.9], 1)], "article_id string, terms array<int>, weights array<double>, _g int")
+    exact, shared = neighbours.term_ceilings(rows, 2, 8), neighbours.term_ceilings(rows, 2, 4)
+    assert exact[0, 5] >= 0.8 * 255 and exact[0, 1] == 0 and shared[0, 1] == exact[0, 5] and shared[1, 0] == exact[1, 4]
+
+
 def sequential_fill(own, seen, popular, k):
     out = []
     for source in (own, popular):
