@@ -58,7 +58,7 @@ def evaluate_models(
     """
     spark = split.train.sparkSession
     users = materialise(evaluation_users(split.test, max_users))
-    mine = split.train.join(users.select("user_id"), "user_id", "left_semi")
+    mine = materialise(split.train.join(users.select("user_id"), "user_id", "left_semi"))
     seen = materialise(seen_pairs(mine))
     truth = materialise(seen_pairs(split.test.join(users.select("user_id"), "user_id", "left_semi")))
     sizes = materialise(split_sizes(split.train, split.test))
@@ -80,11 +80,18 @@ def evaluate_models(
 
 
 def train_all(
-    split: Split, articles: DataFrame, root: str, version: str, max_users: int | None = None, components: int = 50
+    split: Split,
+    articles: DataFrame,
+    root: str,
+    version: str,
+    max_users: int | None = None,
+    components: int = 50,
+    given: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Train and evaluate the three models below ``root`` and return their run records."""
+    """Train and evaluate the three models below ``root`` and return their run records, together with those of
+    the item tables in ``given``, by model type."""
     made = {FACTOR_MODEL: item_factors(pair_weights(split.train), components), TEXT_MODEL: text_rows(articles)}
-    return evaluate_models(split, made, root, version, max_users)
+    return evaluate_models(split, made | (given or {}), root, version, max_users)
 
 
 def promote_best(runs: DataFrame, root: str, version: str, stamp: str, known: list[str] = MODEL_TYPES) -> str:

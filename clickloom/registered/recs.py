@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom.operators import factors, interactions as inter, metrics, neighbours, popularity, recommend, terms
 from clickloom.plans import serving, training
 from clickloom.registered import query, tables
-from clickloom.registered.sql import fill, last_three, metrics as metrics_sql, term_neighbours, vector_neighbours
+from clickloom.registered.sql import fill, last_three, metrics as metrics_sql, scores, term_neighbours, vector_neighbours
 from clickloom.schemas import FACTOR_MODEL, POPULARITY_MODEL, TEXT_MODEL, VECTOR_MODEL
 from clickloom.session import materialise, work_path
-from clickloom.sources.writers import latest_model
+from clickloom.sources.writers import latest_model, read_runs
 
 
 def _six(df: DataFrame, *names: str) -> DataFrame:
@@ -218,6 +218,15 @@ def recommend_requests(spark, sf):
     return out[0].unionByName(out[1]).unionByName(refused, allowMissingColumns=True)
 
 
+def _part_facts(spark, sf):
+    return tables.table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("article_id"),
+        F.col("p_name").alias("title"),
+        F.col("p_type").alias("category"),
+        F.col("p_brand").alias("source"),
+    )
+
+
 @query(
     "recommendation_details",
     f"""SELECT r.user_id, r.rank, r.article_id, p_name AS title, '' AS url, coalesce(p_type, '') AS category, coalesce(p_brand, '') AS source,
@@ -225,12 +234,7 @@ def recommend_requests(spark, sf):
  JOIN part ON CAST(p_partkey AS VARCHAR) = r.article_id""",
 )
 def recommendation_details(spark, sf):
-    facts = tables.table(spark, sf, "part").select(
-        F.col("p_partkey").cast("string").alias("article_id"),
-        F.col("p_name").alias("title"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("source"),
-    )
+    facts = _part_facts(spark, sf)
     # Rank 0 holds an id that no table has; it must drop out.
     recs = recommend_popular(spark, sf)
     unknown = recs.where("rank = 1").withColumns({"rank": F.lit(0), "article_id": F.lit("no such part")})
@@ -261,30 +265,57 @@ def _parts(spark, sf):
     return tables.catalogue(spark, sf).withColumn("article_id", F.substring("news_id", 2, 20))
 
 
-def _runs(spark, sf, root):
+_STAMP = "20240101_000000"
+_TRAINED: dict[tuple[str, str], str] = {}
+
+
+def _trained(spark, sf) -> str:
+    """The folder of the training job over the tables in ``sf``, which runs once in a session: popularity, fitted
+    factors, part texts and given vectors, of which the best but the factors is promoted."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        root = work_path(spark, "training")
+        split = training.split_interactions(tables.distinct_interactions(spark, sf))
+        runs = training.train_all(split, _parts(spark, sf), root, "v1", given={VECTOR_MODEL: tables.vectors(spark, sf)})
+        training.promote_best(runs.where(F.col("model_type").isin(_KNOWN)), root, "v1", _STAMP, _KNOWN)
+        _TRAINED[key] = root
+    return _TRAINED[key]
+
+
+def _runs(spark, sf):
     """Run records of three models: popularity, given vectors, part texts."""
-    split = training.split_interactions(tables.distinct_interactions(spark, sf))
-    models = {VECTOR_MODEL: tables.vectors(spark, sf), TEXT_MODEL: training.text_rows(_parts(spark, sf))}
-    return training.evaluate_models(split, models, root, "v1")
+    return read_runs(spark, _trained(spark, sf)).where(F.col("model_type").isin(_KNOWN))
 
 
-@query("train_evaluate")
-def train_evaluate(spark, sf):
-    """The training job with fitted factors, and the promotion of its best run."""
-    root = work_path(spark, "training")
-    split = training.split_interactions(tables.distinct_interactions(spark, sf))
-    runs = training.train_all(split, _parts(spark, sf), root, "v1")
-    best = training.promote_best(runs, root, "v1", "20240101_000000")
-    return runs.withColumn("promoted", F.col("model_type") == best)
+_BEST = "(SELECT model_type FROM runs ORDER BY ndcg_at_10 DESC, precision_at_5 DESC, recall_at_10 DESC, run_id LIMIT 1)"
 
 
 _RUN_COLUMNS = """run_id, 'FINISHED' AS status, model_type, round(ndcg_at_10, 6) AS ndcg_at_10, round(precision_at_5, 6) AS precision_at_5,
  round(recall_at_10, 6) AS recall_at_10, train_size, test_size, unique_users, unique_articles, eval_users"""
 
 
+_SCORES = ["ndcg_at_10", "precision_at_5", "recall_at_10"]
+
+
+@query(
+    "train_evaluate",
+    f"""SELECT {_RUN_COLUMNS}, true AS sound, model_type = {_BEST} AS promoted FROM runs CROSS JOIN sizes
+ UNION ALL SELECT '{FACTOR_MODEL}-v1', 'FINISHED', '{FACTOR_MODEL}', NULL, NULL, NULL, train_size, test_size, unique_users, unique_articles,
+  (SELECT max(eval_users) FROM runs), true, false FROM sizes""",
+)
+def train_evaluate(spark, sf):
+    """The training job. The factors' scores have no unique values; ``sound`` says that all lie between 0 and 1."""
+    root = _trained(spark, sf)
+    fitted = F.col("model_type") == FACTOR_MODEL
+    sound = reduce(lambda a, b: a & b, [F.col(n).between(0, 1) for n in _SCORES])
+    promoted = F.col("model_type") == latest_model(spark, root)["best_model"]
+    runs = read_runs(spark, root).withColumns({"sound": sound, "promoted": promoted})
+    return _six(runs.withColumns({n: F.when(~fitted, F.col(n)) for n in _SCORES}), *_SCORES)
+
+
 @query("run_log", f"SELECT {_RUN_COLUMNS} FROM runs CROSS JOIN sizes")
 def run_log(spark, sf):
-    return _six(_runs(spark, sf, work_path(spark, "run-log")), "ndcg_at_10", "precision_at_5", "recall_at_10")
+    return _six(_runs(spark, sf), *_SCORES)
 
 
 @query(
@@ -295,26 +326,49 @@ def run_log(spark, sf):
  FROM runs CROSS JOIN sizes ORDER BY runs.ndcg_at_10 DESC, runs.precision_at_5 DESC, runs.recall_at_10 DESC, run_id LIMIT 1""",
 )
 def best_model(spark, sf):
-    runs = _runs(spark, sf, work_path(spark, "best-model"))
-    record = metrics.promotion_record(metrics.best_run(runs, _KNOWN), F.lit("20240101_000000"))
-    return _six(record, "ndcg_at_10", "precision_at_5", "recall_at_10")
+    record = metrics.promotion_record(metrics.best_run(_runs(spark, sf), _KNOWN), F.lit(_STAMP))
+    return _six(record, *_SCORES)
 
 
 @query(
     "model_registry",
-    f"""SELECT model_type, model_type = (SELECT model_type FROM runs ORDER BY ndcg_at_10 DESC, precision_at_5 DESC, recall_at_10 DESC, run_id LIMIT 1) AS promoted,
+    f"""SELECT model_type, model_type = {_BEST} AS promoted,
  (SELECT count(*) FROM tpop) AS popularity_rows, CASE model_type WHEN '{VECTOR_MODEL}' THEN (SELECT count(*) FROM embeddings)
   WHEN '{TEXT_MODEL}' THEN (SELECT count(DISTINCT article_id) FROM pterms) ELSE CAST(0 AS BIGINT) END AS item_rows FROM runs""",
 )
 def model_registry(spark, sf):
-    root, stamp = work_path(spark, "registry"), "20240101_000000"
-    runs = _runs(spark, sf, root)
-    training.promote_best(runs, root, "v1", stamp, _KNOWN)
+    root = _trained(spark, sf)
     best = latest_model(spark, root)["best_model"]
     out = []
     for model in _KNOWN:
-        path = f"{root}/registry/all/{model}-{stamp}"
+        path = f"{root}/registry/all/{model}-{_STAMP}"
         sizes = spark.read.parquet(f"{path}/popularity").agg(F.count(F.lit(1)).alias("popularity_rows"))
         items = F.lit(0 if model == POPULARITY_MODEL else spark.read.parquet(f"{path}/items").count()).cast("bigint")
         out.append(sizes.select(F.lit(model).alias("model_type"), F.lit(model == best).alias("promoted"), "popularity_rows", items.alias("item_rows")))
     return reduce(DataFrame.unionByName, out)
+
+
+def _near_lists(items: str, near) -> str:
+    """Lists from the neighbours of the newest clicks in ``items``, and popular parts."""
+    seeds = f"(SELECT user_id, article_id FROM drecent WHERE rn <= 3 AND article_id IN (SELECT article_id FROM {items}) AND user_id IN (SELECT user_id FROM {_REQUESTS}))"
+    return fill(_REQUESTS, f"({scores(seeds, '(' + near(seeds) + ')')})", _PROFILE_SEEN, "tpop")
+
+
+_LISTS = {
+    POPULARITY_MODEL: fill(_REQUESTS, None, _PROFILE_SEEN, "tpop"),
+    VECTOR_MODEL: _near_lists("vecs", lambda seeds: vector_neighbours("vecs", seeds)),
+    TEXT_MODEL: _near_lists("ptext", lambda seeds: term_neighbours("pterms", seeds)),
+}
+
+
+@query(
+    "serve_requests",
+    f"""SELECT q.request_id, l.user_id, l.rank, l.article_id, p_name AS title, '' AS url, coalesce(p_type, '') AS category, coalesce(p_brand, '') AS source,
+ '' AS abstract, '' AS pub_date, '' AS data_source, l.model_type
+ FROM ({" UNION ALL ".join(f"SELECT '{model}' AS model_type, user_id, article_id, rank FROM ({lists})" for model, lists in _LISTS.items())}) l
+ JOIN {_ASKED} q ON q.user_id = l.user_id AND l.rank <= q.k JOIN part ON CAST(p_partkey AS VARCHAR) = l.article_id
+ WHERE l.model_type = {_BEST}""",
+)
+def serve_requests(spark, sf):
+    """What the promoted model, read back from the registry, answers to every valid request."""
+    return serving.serve(spark, _trained(spark, sf), _requests(spark, sf), _profiles(spark, sf), _part_facts(spark, sf))

@@ -10,7 +10,8 @@ from clickloom.plans.training import split_interactions
 from clickloom.registered import query, tables
 
 from clickloom.schemas import CATEGORIES, IMPRESSION_CLICK, LOG_CLICK
-from clickloom.session import materialise
+from clickloom.session import materialise, work_path
+from clickloom.sources import writers
 
 _TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _SQL_TIME = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -109,14 +110,14 @@ def training_articles(spark, sf):
     return inter.training_articles(articles, rows).select("article_id", "title", "category")
 
 
-@query(
-    "dataset_summary",
-    """SELECT (SELECT count(DISTINCT article_id) FROM articles) AS articles_total, (SELECT count(*) FROM beh) AS behaviors_total,
+_SUMMARY = """SELECT (SELECT count(DISTINCT article_id) FROM articles) AS articles_total, (SELECT count(*) FROM beh) AS behaviors_total,
  (SELECT count(*) FROM logs) AS logs_total, (SELECT count(DISTINCT user_id) FROM allclicks) AS users_total,
  count(*) FILTER (WHERE source = 'mind_click') AS mind_interactions, count(*) FILTER (WHERE source = 'simulated_click') AS simulated_interactions,
  count(*) AS total_interactions, count(DISTINCT user_id) AS unique_users, count(DISTINCT article_id) AS unique_articles,
- count(*) - CAST(ceil(count(*) * CAST(0.2 AS DOUBLE)) AS BIGINT) AS train_size, CAST(ceil(count(*) * CAST(0.2 AS DOUBLE)) AS BIGINT) AS test_size FROM built""",
-)
+ count(*) - CAST(ceil(count(*) * CAST(0.2 AS DOUBLE)) AS BIGINT) AS train_size, CAST(ceil(count(*) * CAST(0.2 AS DOUBLE)) AS BIGINT) AS test_size FROM built"""
+
+
+@query("dataset_summary", _SUMMARY)
 def dataset_summary(spark, sf):
     articles, behaviours, logs, rows = _built(spark, sf)
     split = split_interactions(rows)
@@ -127,6 +128,14 @@ def dataset_summary(spark, sf):
     )
 
 
+@query("summary_sink", _SUMMARY)
+def summary_sink(spark, sf):
+    """The summary written as JSON and read back."""
+    summary, path = dataset_summary(spark, sf), work_path(spark, "summary")
+    writers.write_summary(summary, path)
+    return spark.read.schema(summary.schema).json(path)
+
+
 @query("counts_by_source", 'SELECT source, count(*) AS "rows" FROM inter GROUP BY source')
 def counts_by_source(spark, sf):
     return inter.counts_by(tables.interactions(spark, sf), "source")
