@@ -1,9 +1,9 @@
-"""Removal of byte strings that repeat across documents, by distributed prefix doubling.
+"""Removal of byte strings that repeat across documents, in rounds over longer strings.
 
 Every byte covered by a string of ``length`` bytes that also starts in a document with a smaller id is
-removed. Positions get ranks, names of the strings that start there, and Spark sorts (rank, position) pairs
-by rank, one range of ranks per bucket. A position whose rank no other document has drops out; the rest are
-ranked anew by longer strings, until they pass the threshold:
+removed. This is not prefix doubling by range sorts: positions get names of the strings that start there, Spark
+groups (name, position) pairs by a hash of the name into buckets, and NumPy sorts within a bucket. A position
+whose name no other document has drops out; the rest are named anew by longer strings, up to the threshold:
 
 1. Strings of about half the length, ranked at anchors only: the smallest-named of the short strings inside
    each window of ``length`` bytes. Equal windows have equal anchors, so a window whose anchor is unique is
