@@ -87,3 +87,12 @@ def test_clean_documents_stay_where_the_share_cuts(spark):
     kept = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, df, "").collect()}
     assert sorted(d for d in kept if d >= 1000) == [1000, 1001, 1002, 1003, 1006] and len(kept) == 505
     assert set(kept.values()) == {"en"}
+
+
+def test_decontamination_judges_rows_not_ids(spark, tmp_path):
+    item = "which of the following words stands for the seventh of all listed things in this row"
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, f"before {item} after", "a"), (None, "a clean text without an id", "b"), (5, "a clean text", "c"), (5, f"{item} again", "d"), (6, None, "e"), (None, None, "f")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row_key string")
+    kept = corpus_pipeline.drop_benchmark(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and sorted(r["row_key"] for r in kept.collect()) == ["b", "c", "e", "f"]
