@@ -37,7 +37,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.llm.components import components
 from clickloom.llm.sift import only, without
-from clickloom.llm.texts import PIECE_BYTES, SHINGLE_WORDS, add_columns, flat, mix, pieces, shingle_names
+from clickloom.llm.texts import PIECE_BYTES, SHINGLE_WORDS, add_columns, flat, free_name, mix, pieces, shingle_names
+from clickloom.operators.ordering import global_index
 from clickloom.session import materialise, release
 
 THRESHOLD = 0.8
@@ -314,12 +315,46 @@ def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return materialise(only(docs.select(F.col("doc_id").alias("id"), "text"), "id", ids).groupBy("id").agg(F.max("text").alias("text")))
 
 
+def _own_keys(docs: DataFrame, doc_id: str, text: str, key: str) -> DataFrame:
+    """``docs`` with ``key``, a bigint that no two different pairs of an id and a text share.
+
+    An id that names one text is its own key. Rows without an id, or whose id names several texts, get numbers
+    that no id has, above the largest or below the smallest.
+    """
+    digest = free_name(docs, "text_digest")
+    named = docs.withColumn(digest, F.md5(F.encode(F.concat(F.lit("."), F.coalesce(text, F.lit(""))), "UTF-8")))
+    named = named.withColumn(digest, F.when(F.col(text).isNull(), "-").otherwise(F.col(digest)))
+    sizes = named.groupBy(doc_id).agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
+    shared = materialise(sizes.where(f"`{doc_id}` is null or low <> high").select(doc_id))
+    own = docs.withColumn(key, F.col(doc_id).cast("bigint"))
+    if shared.isEmpty():
+        return own
+    rows = materialise(only(named, doc_id, shared))
+    pairs = rows.select(F.col(doc_id).alias("shared_id"), F.col(digest).alias("shared_digest")).distinct()
+    numbers = materialise(global_index(pairs, [F.col("shared_id"), F.col("shared_digest")], "number", 1))
+    n = numbers.count()
+    ends = docs.agg(F.min(F.col(doc_id).cast("bigint")).alias("low"), F.max(F.col(doc_id).cast("bigint")).alias("high")).first()
+    if (ends["high"] or 0) + n < 1 << 63:
+        start = ends["high"] or 0
+    elif ends["low"] - n >= -(1 << 63):
+        start = ends["low"] - n - 1
+    else:
+        raise ValueError(f"{n} rows with shared or missing ids find no free number beside ids from {ends['low']} to {ends['high']}")
+    same = F.col(doc_id).eqNullSafe(F.col("shared_id")) & (F.col(digest) == F.col("shared_digest"))
+    keyed = rows.join(numbers, same).withColumn(key, F.col("number") + F.lit(start)).select(*own.columns)
+    return without(own, doc_id, shared).unionByName(materialise(keyed))
+
+
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` with one document of each class, that of the smallest id; of repeated rows with one id, one stays.
-    Rows without an id cannot be told apart and all stay."""
-    found = materialise(near_duplicates(docs, threshold, doc_id, text, words).where("doc_id is not null"))
+    """``docs`` with one document of each class, that of the smallest id; of repeated rows, one stays.
+
+    Rows are judged by their id and text, so different texts that share an id, or have none, are documents of their
+    own. Such a row gives way to one of its class with an id of its own, but where no numbers above the ids are free."""
+    key = free_name(docs, "row_key")
+    docs_ = _own_keys(docs, doc_id, text, key)
+    found = materialise(near_duplicates(docs_, threshold, key, text, words))
     copies = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("class_id").alias("class_id"))
     doubtful = materialise(copies.where("n > 1 or class_id <> doc_id"))
-    sure = without(docs, doc_id, doubtful.select("doc_id"))
+    sure = without(docs_, key, doubtful.select("doc_id"))
     again = doubtful.where("class_id = doc_id").select("doc_id")
-    return sure.unionByName(only(docs, doc_id, again).dropDuplicates([doc_id]))
+    return sure.unionByName(only(docs_, key, again).dropDuplicates([key])).drop(key)

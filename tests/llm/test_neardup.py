@@ -92,6 +92,23 @@ def test_empty_table_and_null_ids(rows):
     assert sorted(((r.doc_id or -1), r.class_id or -1) for r in got) == [(-1, -1), (-1, 3), (3, 3)]
 
 
+def test_keep_one_judges_rows(rows):
+    long = [" ".join(f"{w}{i}" for i in range(60)) for w in "abcd"]
+    data = [(1, long[0], "a"), (1, long[1], "b"), (2, long[2], "c"), (2, long[2], "c"), (3, long[0] + " more", "d"), (None, long[3], "e")]
+    data += [(None, long[3] + " end", "f"), (None, None, "g"), (4, long[3], "h"), (4, None, "i"), (None, None, "g"), (1, "", "j")]
+    for shift in (0, (1 << 63) - 5):
+        df = rows([(d if d is None else d + shift, t, x) for d, t, x in data], "doc_id long, text string, row_key string")
+        kept = neardup.keep_one(df)
+        assert kept.columns == df.columns
+        got = sorted(r.row_key for r in kept.collect())
+        # One of e, f and h, which have no number of their own, stays.
+        assert [x for x in got if x not in "efh"] == ["b", "c", "d", "g", "i", "j"] if not shift else len(got) == 7
+        assert sum(x in "efh" for x in got) == 1
+    full = rows([(-(1 << 63), "a", "x"), ((1 << 63) - 1, "b", "y"), (None, "c", "z")], "doc_id long, text string, row_key string")
+    with pytest.raises(ValueError, match="free number"):
+        neardup.keep_one(full)
+
+
 def test_components(rows):
     rng = random.Random(4)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(70)] + [(2000, 2001 + i) for i in range(50)]
