@@ -1,23 +1,30 @@
 """Latent item factors: randomised truncated SVD of the item x user weight matrix.
 
-The matrix stays in long form (``user_id, article_id, weight``). Each half step multiplies it by a block
-of vectors as a join and a grouped sum with map-side partial sums. Only width x width Gram matrices
-(a few thousand numbers) reach the driver.
+The matrix stays in long form (``user_id, article_id, weight``). Each half step multiplies it by a block of
+vectors. The pairs are dealt into blocks twice, once by article and once by user, and then stay where they lie: a
+half step sends each vector to the blocks that hold pairs of its id. Only width x width Gram matrices (a few
+thousand numbers) reach the driver.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.session import materialise
+from clickloom.session import materialise, work_path
 
 COMPONENTS = 50
 OVERSAMPLES = 10
 POWER_STEPS = 5
+PAIRS_PER_BLOCK = 1 << 16
+SLICE = 1 << 13
 
 
 def component_count(items: int, users: int, wanted: int = COMPONENTS) -> int:
@@ -66,41 +73,110 @@ def _whiten(gram: np.ndarray) -> np.ndarray:
     return vectors * np.where(keep, 1.0 / np.sqrt(np.where(keep, values, 1.0)), 0.0)
 
 
-def _multiply(pairs: DataFrame, vectors: DataFrame, left: str, right: str, width: int) -> DataFrame:
-    """``right``-keyed block = matrix (or its transpose) times the ``left``-keyed block."""
-    # The block has one row per key, so hashing it needs no sort and cannot be skewed.
-    joined = pairs.join(vectors.hint("shuffle_hash"), left)
-    sums = [F.sum(F.col("weight") * F.col(n)).alias(n) for n in _names(width)]
-    return materialise(joined.groupBy(right).agg(*sums))
+@dataclass(frozen=True)
+class Layout:
+    """The pairs in blocks (``block, left, right, weight``) and the blocks that each left id is needed in (``to_block``).
+
+    The blocks lie in the work folder as a table bucketed by block, so a join by block does not move them."""
+
+    blocks: DataFrame
+    routes: DataFrame
+    left: str
+    right: str
+    split: bool
+    table: str
+
+
+def lay_out(pairs: DataFrame, left: str, right: str, total: int, pairs_per_block: int = PAIRS_PER_BLOCK) -> Layout:
+    """Deal ``pairs`` once into blocks of about ``pairs_per_block``, the pairs of one ``right`` id together.
+
+    An id with more pairs than a block is salted by the hash of the left id, over as many blocks as it fills.
+    """
+    spark = pairs.sparkSession
+    parts = max(-(-total // pairs_per_block), spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    counts = pairs.groupBy(right).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > pairs_per_block)
+    hot = materialise(counts.select(right, F.ceil(F.col("n") / pairs_per_block).alias("salts")))
+    split = not hot.isEmpty()
+    salt = F.lit(0).cast("bigint")
+    if split:
+        pairs = pairs.join(hot, right, "left")
+        salt = F.pmod(F.xxhash64(left), F.coalesce("salts", F.lit(1).cast("bigint")))
+    block = F.pmod(F.xxhash64(F.col(right), salt), F.lit(parts)).cast("int").alias("block")
+    dealt = pairs.select(block, F.col(left).alias("left"), F.col(right).alias("right"), "weight")
+    name = f"pairs_by_{right}_{uuid.uuid4().hex}"
+    buckets = min(parts, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    writer = dealt.repartition(buckets, "block").write.format("parquet").option("path", work_path(spark, name))
+    writer.bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
+    blocks = spark.table(name)
+    routes = materialise(blocks.select(F.col("left").alias(left), F.col("block").alias("to_block")).distinct().repartition(parts, left))
+    return Layout(blocks, routes, left, right, split, name)
+
+
+def product(layout: Layout, vectors: DataFrame, width: int) -> DataFrame:
+    """``right``-keyed block = matrix (or its transpose) times the ``left``-keyed block ``vectors``.
+
+    Every vector goes once to each block that has pairs of its id. The pairs stay where they lie.
+    """
+    names, right = _names(width), layout.right
+    routed = vectors.join(layout.routes, layout.left).select("to_block", F.col(layout.left).alias("left"), *names)
+
+    def run(pairs: pa.Table, known: pa.Table) -> pa.Table:
+        matrix = np.column_stack([known.column(n).to_numpy() for n in names]) if known.num_rows else np.zeros((0, width))
+        at = pc.index_in(pairs.column("left"), value_set=known.column("left").combine_chunks())
+        pairs = pairs.append_column("at", at).filter(pc.is_valid(at))
+        keys = pairs.column("right").combine_chunks().dictionary_encode()
+        codes = keys.indices.to_numpy()
+        order = np.argsort(codes, kind="stable")
+        at, weight = pairs.column("at").to_numpy()[order], pairs.column("weight").to_numpy()[order]
+        ends = np.cumsum(np.bincount(codes, minlength=len(keys.dictionary)))
+        out, first = np.zeros((len(ends), width)), 0
+        # Some thousand pairs at a time; the ids of one slice are consecutive.
+        while first < len(ends):
+            begin = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, begin + SLICE, "right")))
+            rows = slice(begin, ends[last - 1])
+            starts = np.concatenate([[0], ends[first : last - 1] - begin])
+            out[first:last] = np.add.reduceat(matrix[at[rows]] * weight[rows, None], starts, axis=0)
+            first = last
+        return pa.table([keys.dictionary, *(pa.array(out[:, j]) for j in range(width))], names=[right, *names])
+
+    schema = f"{right} string, " + ", ".join(f"{n} double" for n in names)
+    made = layout.blocks.groupBy("block").cogroup(routed.groupBy("to_block")).applyInArrow(run, schema)
+    return made.groupBy(right).agg(*[F.sum(n).alias(n) for n in names]) if layout.split else made
 
 
 def item_factors(
-    pairs: DataFrame, components: int = COMPONENTS, power_steps: int = POWER_STEPS, seed: int = 42
+    pairs: DataFrame, components: int = COMPONENTS, power_steps: int = POWER_STEPS, seed: int = 42, pairs_per_block: int = PAIRS_PER_BLOCK
 ) -> DataFrame:
-    """``article_id, embedding array<double>``: left singular vectors times singular values."""
+    """``article_id, embedding array<double>``: left singular vectors times singular values. Pairs with a null in
+    any column do not count."""
     pairs = materialise(
         pairs.select(
             F.col("user_id").cast("string").alias("user_id"),
             F.col("article_id").cast("string").alias("article_id"),
             F.col("weight").cast("double").alias("weight"),
-        )
+        ).dropna()
     )
-    shape = pairs.agg(F.count_distinct("article_id").alias("i"), F.count_distinct("user_id").alias("u")).first()
+    shape = pairs.agg(F.count_distinct("article_id").alias("i"), F.count_distinct("user_id").alias("u"), F.count(F.lit(1)).alias("n")).first()
     n = component_count(shape["i"], shape["u"], components)
     width = min(n + OVERSAMPLES, min(shape["i"], shape["u"]))
     width = max(width, 1)
     n = min(n, width)
 
+    by_user = lay_out(pairs, "article_id", "user_id", shape["n"], pairs_per_block)
+    by_item = lay_out(pairs, "user_id", "article_id", shape["n"], pairs_per_block)
     # Random signs from the bits of seeded hashes of the user, so the start block needs no join and no storage.
     h = [F.xxhash64(F.lit(seed + i), F.col("user_id")) for i in range(-(-width // 64))]
     signs = [F.when(F.shiftright(h[j // 64], j % 64).bitwiseAND(F.lit(1)) == 1, F.col("weight")).otherwise(-F.col("weight")) for j in range(width)]
     items = materialise(pairs.groupBy("article_id").agg(*[F.sum(s).alias(f"f{j}") for j, s in enumerate(signs)]))
     for _ in range(power_steps):
         basis = _rotate(items, "article_id", _whiten(_gram(items, width)))
-        users = _multiply(pairs, basis, "article_id", "user_id", width)
-        items = _multiply(pairs, users, "user_id", "article_id", width)
+        users = materialise(product(by_user, basis, width))
+        items = materialise(product(by_item, users, width))
     basis = _rotate(items, "article_id", _whiten(_gram(items, width)))
-    users = _multiply(pairs, basis, "article_id", "user_id", width)
+    users = materialise(product(by_user, basis, width))
+    for layout in (by_user, by_item):
+        pairs.sparkSession.sql(f"DROP TABLE {layout.table}")
     values, vectors = np.linalg.eigh(_gram(users, width))
     top = np.argsort(values)[::-1][:n]
     turn = vectors[:, top] * np.sqrt(np.maximum(values[top], 0.0))

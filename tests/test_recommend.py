@@ -297,12 +297,13 @@ def test_best_run(rows):
         metrics.require_best_run(rows(data[3:5], schema))
 
 
-def test_factors_match_exact_svd(spark):
+@pytest.mark.parametrize("per_block", [factors.PAIRS_PER_BLOCK, 9])
+def test_factors_match_exact_svd(spark, per_block):
     rng = np.random.default_rng(0)
     left, right = rng.normal(size=(70, 5)), rng.normal(size=(40, 5))
     a = np.maximum(np.round(left @ right.T), 0)
     pairs = [(f"u{j}", f"i{i}", float(a[i, j])) for i in range(70) for j in range(40) if a[i, j] > 0]
-    made = factors.item_factors(spark.createDataFrame(pairs, "user_id string, article_id string, weight double"), 6)
+    made = factors.item_factors(spark.createDataFrame(pairs, "user_id string, article_id string, weight double"), 6, pairs_per_block=per_block)
     got = {r["article_id"]: np.array(r["embedding"]) for r in made.collect()}
     keep = [i for i in range(70) if f"i{i}" in got]
     f = np.vstack([got[f"i{i}"] for i in keep])
@@ -316,6 +317,27 @@ def test_factors_match_exact_svd(spark):
     assert np.abs(cosine(f) - cosine(u[:, :6] * s[:6])).max() < 1e-2
 
 
+def test_factor_products_leave_the_pairs_where_they_lie(spark, rows):
+    rng = np.random.default_rng(3)
+    # One article holds a third of all pairs.
+    data = sorted({(f"u{rng.integers(90)}", f"i{rng.integers(40) * (rng.random() > 0.33)}") for _ in range(700)})
+    pairs = rows([(u, i, float(1 + n % 4)) for n, (u, i) in enumerate(data)], PAIRS + ", weight double")
+    vectors = {u: rng.normal(size=3) for u, _ in data}
+    layout = factors.lay_out(pairs, "user_id", "article_id", len(data), 30)
+    assert layout.split and layout.blocks.where("right = 'i0'").select("block").distinct().count() > 1
+    made = factors.product(layout, rows([(u, *map(float, v)) for u, v in vectors.items()], "user_id string, f0 double, f1 double, f2 double"), 3)
+    plan = made._jdf.queryExecution().executedPlan().toString().splitlines()
+    top = next(n for n, line in enumerate(plan) if "FlatMapCoGroupsInArrow" in line)
+    scan = next(n for n, line in enumerate(plan) if "FileScan" in line and "weight" in line)
+    assert top < scan and not any("Exchange" in line for line in plan[top:scan])
+    assert "SelectedBucketsCount" in plan[scan] and "Bucketed: true" in plan[scan]
+    want = {}
+    for n, (u, i) in enumerate(data):
+        want[i] = want.get(i, 0) + (1 + n % 4) * vectors[u]
+    got = {r["article_id"]: [r["f0"], r["f1"], r["f2"]] for r in made.collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
+
+
 def test_component_count():
     assert [factors.component_count(*x) for x in ((1000, 900), (10, 30), (2, 2))] == [50, 9, 2]
 
