@@ -11,7 +11,7 @@ from clickloom.schemas import BEHAVIOUR, CATALOGUE, POPULARITY_MODEL, USER_LOG
 from clickloom.session import work_path
 from clickloom.sources import readers, writers
 from clickloom.streaming import clicks as click_stream
-from clickloom.streaming import landing
+from clickloom.streaming import landing, state
 
 
 @query(
@@ -115,6 +115,15 @@ def stream_profile_update(spark, sf):
     return users.show_profiles(click_stream.read_profiles(spark, root))
 
 
+@query("stream_state_profiles", users.PROFILE_SQL)
+def stream_state_profiles(spark, sf):
+    """As ``stream_profile_update``, held in the state store and read back from there."""
+    root = work_path(spark, "state")
+    state.start_from(users.starting_profiles(spark, sf), root)
+    state.fold_clicks(spark, _click_files(spark, sf, root), users.known_articles(spark, sf), root, files_per_batch=2)
+    return users.show_profiles(state.profiles_in_state(spark, root))
+
+
 _LABELLED = "(SELECT * FROM dclicks WHERE article_id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels))"
 _LATEST = f"""(SELECT user_id, article_id FROM (SELECT user_id, article_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, article_id) AS rn
  FROM (SELECT user_id, article_id, max(ts) AS ts, arg_max(event_id, ts) AS event_id FROM {_LABELLED} GROUP BY ALL)) WHERE rn <= 20)"""
