@@ -9,7 +9,7 @@ from clickloom.registered import query, tables, users
 from clickloom.registered.sql import fill
 from clickloom.schemas import BEHAVIOUR, CATALOGUE, POPULARITY_MODEL, USER_LOG
 from clickloom.session import work_path
-from clickloom.sources import readers, writers
+from clickloom.sources import keyed, readers, writers
 from clickloom.streaming import clicks as click_stream
 from clickloom.streaming import landing, state
 
@@ -63,27 +63,65 @@ def sink_parquet(spark, sf):
     return spark.read.parquet(path).select(*rows.columns)
 
 
-@query(
-    "upsert_versions",
-    """SELECT c_custkey, c_name, balance, rejected FROM (SELECT c_custkey, c_name, c_acctbal + coalesce(o_totalprice, 0) AS balance,
+_BALANCES = """SELECT c_custkey, c_name, balance, rejected FROM (SELECT c_custkey, c_name, c_nationkey, c_acctbal + coalesce(o_totalprice, 0) AS balance,
   row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM customer
-  LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON o_custkey = c_custkey) CROSS JOIN (SELECT count(*) AS rejected FROM orders WHERE o_orderstatus = 'P') WHERE rn = 1""",
-)
-def upsert_versions(spark, sf):
-    root = work_path(spark, "balances")
+  LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON o_custkey = c_custkey) CROSS JOIN (SELECT count(*) AS rejected FROM orders WHERE o_orderstatus = 'P') WHERE rn = 1"""
+
+
+def _balances(spark, sf):
+    """Customers as the first rows of a keyed table, and their orders as changes to it."""
     customers = tables.table(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_acctbal").alias("balance"))
-    at = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
     blank = customers.withColumns({"o_orderkey": F.lit(0).cast("bigint"), "o_orderdate": F.lit(None).cast("timestamp"), "o_orderstatus": F.lit("")})
     orders = tables.table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
     changes = orders.join(customers, "c_custkey").select(
         "c_custkey", "c_name", (F.col("balance") + F.col("o_totalprice")).alias("balance"), "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"), "o_orderstatus"
     )
-    valid = F.col("o_orderstatus") != "P"
+    return blank, changes
+
+
+def _newest_order():
+    return [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], F.col("o_orderstatus") != "P"
+
+
+@query("upsert_versions", _BALANCES)
+def upsert_versions(spark, sf):
+    root = work_path(spark, "balances")
+    blank, changes = _balances(spark, sf)
+    at, valid = _newest_order()
     writers.upsert_version(spark, root, blank, "c_custkey", at, valid)
     _, rejected = writers.upsert_version(spark, root, changes, "c_custkey", at, valid)
     return writers.read_items(spark, root).select("c_custkey", "c_name", "balance", F.lit(rejected).cast("bigint").alias("rejected"))
 
 
+# Small, so that the given tables fill several buckets and split some.
+_PER_BUCKET = 1_000
+
+
+def _grown(spark, sf):
+    """A keyed table that starts with half of the customers and grows by the rest and by orders."""
+    root = work_path(spark, "keyed")
+    blank, changes = _balances(spark, sf)
+    at, valid = _newest_order()
+    half = F.col("c_custkey") % 2 == 0
+    for part in (blank.where(half), blank.where(~half), changes):
+        keyed.upsert(spark, root, part, "c_custkey", at, valid, _PER_BUCKET)
+    rejected = keyed.rejected(spark, root).count()
+    return root, F.lit(rejected).cast("bigint").alias("rejected")
+
+
+@query("keyed_upserts", _BALANCES)
+def keyed_upserts(spark, sf):
+    root, rejected = _grown(spark, sf)
+    return keyed.read_items(spark, root).select("c_custkey", "c_name", "balance", rejected)
+
+
+@query("keyed_lookup", f"{_BALANCES} AND c_nationkey = 3")
+def keyed_lookup(spark, sf):
+    root, rejected = _grown(spark, sf)
+    wanted = tables.table(spark, sf, "customer").where("c_nationkey = 3").select("c_custkey")
+    return keyed.lookup(spark, root, wanted, "c_custkey").select("c_custkey", "c_name", "balance", rejected)
+
+
 _COLUMNS = "article_id, url, title, abstract, content, category, source, pub_date, fetched_at, data_source"
 
 
