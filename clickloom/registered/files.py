@@ -9,7 +9,7 @@ from clickloom.registered import query, tables, users
 from clickloom.registered.sql import fill
 from clickloom.schemas import BEHAVIOUR, CATALOGUE, POPULARITY_MODEL, USER_LOG
 from clickloom.session import work_path
-from clickloom.sources import keyed, readers, writers
+from clickloom.sources import arrays, keyed, readers, writers
 from clickloom.streaming import clicks as click_stream
 from clickloom.streaming import landing, state
 
@@ -28,7 +28,8 @@ def scan_json(spark, sf):
 def scan_json_lists(spark, sf):
     path = work_path(spark, "logs-lists")
     writers.write_json_arrays(tables.raw_logs(spark, sf).select(*USER_LOG.names), path)
-    return readers.read_json_lists(spark, path, USER_LOG, "*.txt").select("user_id", "article_id", "action")
+    records, _ = arrays.read_ranges(spark, path, USER_LOG, "*.txt")
+    return records.select("user_id", "article_id", "action")
 
 
 @query(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.text import strip
 from clickloom.schemas import empty_table
 
 _CORRUPT = "_corrupt_record"
@@ -25,14 +24,6 @@ def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType, patte
     return rows.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
 
 
-def read_json_lists(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.json") -> DataFrame:
-    """Like ``read_json_arrays``, but a payload that is not a list is ignored as a whole (for small files)."""
-    whole = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
-    items = F.from_json("value", T.ArrayType(schema))
-    kept = whole.where(F.substring(strip(F.col("value")), 1, 1) == "[").select(F.explode_outer(items).alias("r"))
-    return kept.where(F.col("r").isNotNull()).select("r.*")
-
-
 def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType, verbatim: bool = False) -> DataFrame:
     """Tab-separated files without a header; columns go by position. ``verbatim`` switches quoting off."""
     reader = spark.read.schema(schema).option("sep", "\t").option("header", "false")

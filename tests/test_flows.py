@@ -11,7 +11,7 @@ from clickloom.operators import interactions as inter, popularity, profiles, rec
 from clickloom.plans import embedding, serving, training
 from clickloom.schemas import POPULARITY_MODEL
 from clickloom.session import work_path
-from clickloom.sources import readers, writers
+from clickloom.sources import arrays, readers, writers
 from clickloom.sources.writers import latest_model
 from clickloom.streaming import clicks as click_stream
 from clickloom.streaming import landing
@@ -38,7 +38,7 @@ def test_payloads_that_are_no_list_are_ignored(spark, tmp_path):
     put(str(tmp_path), "b.json", {"user_id": "3"})
     put(str(tmp_path), "c.json", "[broken")
     put(str(tmp_path), "d.log", [{"user_id": "4"}])
-    got = readers.read_json_lists(spark, str(tmp_path), schemas.USER_LOG)
+    got, _ = arrays.read_ranges(spark, str(tmp_path), schemas.USER_LOG)
     assert sorted(r["user_id"] for r in got.collect()) == ["1", "2"]
 
 
