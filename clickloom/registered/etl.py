@@ -12,6 +12,8 @@ from clickloom.plans.articles import build_articles
 from clickloom.registered import query, tables
 from clickloom.registered.sql import first_row, strip as sql_strip
 from clickloom.schemas import SOURCE_LABELS
+from clickloom.session import work_path
+from clickloom.sources import writers
 
 _COLUMNS = "article_id, url, title, abstract, content, category, source, pub_date, fetched_at, data_source"
 
@@ -198,6 +200,23 @@ def stage_counts(spark, sf):
     )
 
 
+@query(
+    "counted_writes",
+    """SELECT 'landed' AS stage, count(*) AS "rows" FROM livestd UNION ALL SELECT 'landed_unique', count(*) FROM livededup
+ UNION ALL SELECT 'catalogue_unique', count(*) FROM catdedup""",
+)
+def counted_writes(spark, sf):
+    """The stages written as tables, counted while they are written."""
+    root = work_path(spark, "counted")
+    landed = cleaning.standardise_live(cleaning.flatten_source(tables.live_articles(spark, sf)))
+    counts = {"landed": writers.write_counted(landed, f"{root}/landed")}
+    landed = spark.read.parquet(f"{root}/landed")
+    counts["landed_unique"] = writers.write_counted(dedup.latest_articles(landed), f"{root}/landed_unique")
+    listed = cleaning.standardise_catalogue(tables.catalogue(spark, sf))
+    counts["catalogue_unique"] = writers.write_counted(dedup.first_by_id(listed), f"{root}/catalogue_unique")
+    return spark.createDataFrame(list(counts.items()), "stage string, rows bigint")
+
+
 _TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 

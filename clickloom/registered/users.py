@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickloom.operators import cleaning, impressions, interactions as inter, ordering, profiles, reports, vectors
+from clickloom.operators import cleaning, impressions, interactions as inter, ordering, profiles, reports, sketches, vectors
 from clickloom.plans.articles import build_articles, build_profiles
 from clickloom.plans.training import split_interactions
 from clickloom.registered import query, tables
@@ -141,6 +141,31 @@ def counts_by_source(spark, sf):
     return inter.counts_by(tables.interactions(spark, sf), "source")
 
 
+_SKETCHED = ["user_id", "article_id"]
+
+
+@query(
+    "distinct_sketches",
+    """SELECT source, count(*) AS "rows", count(DISTINCT user_id) AS user_id, count(DISTINCT article_id) AS article_id, true AS within FROM inter GROUP BY source
+ UNION ALL SELECT 'all', count(*), count(DISTINCT user_id), count(DISTINCT article_id), true FROM inter""",
+)
+def distinct_sketches(spark, sf):
+    """Exact counts, and whether those of merged sketches lie within four standard errors. The sketches are kept
+    for each source and month, and merged by source and over all from the written table."""
+    rows, path = tables.interactions(spark, sf), work_path(spark, "sketches")
+    months = rows.withColumn("month", F.date_format("timestamp", "yyyy-MM"))
+    writers.overwrite(sketches.sketch_parts(months, ["source", "month"], _SKETCHED), path, ["month"])
+    by_source = sketches.merge_parts(spark.read.parquet(path), ["source"], _SKETCHED)
+    total = sketches.merge_parts(by_source.withColumn("source", F.lit("all")), ["source"], _SKETCHED)
+    guessed = sketches.estimates(by_source.unionByName(total), ["source"], [*_SKETCHED]).toDF("source", "_rows", *[f"_{c}" for c in _SKETCHED])
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_distinct(c).alias(c) for c in _SKETCHED]]
+    exact = rows.groupBy("source").agg(*counts).unionByName(rows.agg(F.lit("all").alias("source"), *counts))
+    near = F.col("_rows") == F.col("rows")
+    for c in _SKETCHED:
+        near &= F.abs(F.col(f"_{c}") - F.col(c)) <= F.ceil(4 * sketches.STANDARD_ERROR * F.col(c))
+    return exact.join(guessed, "source").select("source", "rows", *_SKETCHED, near.alias("within"))
+
+
 @query(
     "user_histories",
     f"""SELECT user_id, article_id, count(*) AS clicks, strftime(min("timestamp"), {_SQL_TIME}) AS first_time, strftime(max("timestamp"), {_SQL_TIME}) AS last_time FROM inter GROUP BY ALL""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from clickloom.operators.dedup import quarantine
 from clickloom.operators.ordering import top_n
@@ -21,6 +21,17 @@ def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     writer.parquet(path)
 
 
+def write_counted(df: DataFrame, path: str) -> int:
+    """Write ``df`` and return its rows, counted by the writing job itself.
+
+    The count is taken right below the write, in the tasks whose results the driver accepts once each, so a task
+    that runs again does not count twice.
+    """
+    seen = Observation()
+    overwrite(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return seen.get["rows"]
+
+
 def write_summary(summary: DataFrame, path: str) -> None:
     """A one-row summary as JSON."""
     summary.coalesce(1).write.mode("overwrite").json(path)
