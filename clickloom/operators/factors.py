@@ -2,8 +2,9 @@
 
 The matrix stays in long form (``user_id, article_id, weight``). Each half step multiplies it by a block of
 vectors. The pairs are dealt into blocks twice, once by article and once by user, and then stay where they lie: a
-half step sends each vector to the blocks that hold pairs of its id. Only width x width Gram matrices (a few
-thousand numbers) reach the driver.
+half step sends each vector to the blocks that hold pairs of its id, some columns at a time, so that what is on
+the disk at once stays in proportion to the pairs. Only width x width Gram matrices (a few thousand numbers) reach
+the driver.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,13 +20,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.session import materialise, work_path
+from clickloom.session import discard, materialise, work_path, write_scratch
 
 COMPONENTS = 50
 OVERSAMPLES = 10
 POWER_STEPS = 5
-PAIRS_PER_BLOCK = 1 << 16
+# Few blocks: a vector goes once to each block that needs it.
+PAIRS_PER_BLOCK = 1 << 21
 SLICE = 1 << 13
+# Vectors on their way to the blocks: bytes for each pair, and at least so many in all.
+ROUTED_PER_PAIR, ROUTED_LEAST = 64, 1 << 30
 
 
 def component_count(items: int, users: int, wanted: int = COMPONENTS) -> int:
@@ -77,7 +82,8 @@ def _whiten(gram: np.ndarray) -> np.ndarray:
 class Layout:
     """The pairs in blocks (``block, left, right, weight``) and the blocks that each left id is needed in (``to_block``).
 
-    The blocks lie in the work folder as a table bucketed by block, so a join by block does not move them."""
+    The blocks lie in the work folder as a table bucketed by block, so a join by block does not move them. So many
+    ``columns`` of the vectors are sent at a time."""
 
     blocks: DataFrame
     routes: DataFrame
@@ -85,6 +91,8 @@ class Layout:
     right: str
     split: bool
     table: str
+    folders: tuple[str, str]
+    columns: int
 
 
 def lay_out(pairs: DataFrame, left: str, right: str, total: int, pairs_per_block: int = PAIRS_PER_BLOCK) -> Layout:
@@ -93,7 +101,7 @@ def lay_out(pairs: DataFrame, left: str, right: str, total: int, pairs_per_block
     An id with more pairs than a block is salted by the hash of the left id, over as many blocks as it fills.
     """
     spark = pairs.sparkSession
-    parts = max(-(-total // pairs_per_block), spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(-(-total // pairs_per_block), spark.sparkContext.defaultParallelism)
     counts = pairs.groupBy(right).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > pairs_per_block)
     hot = materialise(counts.select(right, F.ceil(F.col("n") / pairs_per_block).alias("salts")))
     split = not hot.isEmpty()
@@ -105,11 +113,39 @@ def lay_out(pairs: DataFrame, left: str, right: str, total: int, pairs_per_block
     dealt = pairs.select(block, F.col(left).alias("left"), F.col(right).alias("right"), "weight")
     name = f"pairs_by_{right}_{uuid.uuid4().hex}"
     buckets = min(parts, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
-    writer = dealt.repartition(buckets, "block").write.format("parquet").option("path", work_path(spark, name))
+    folder = work_path(spark, name)
+    writer = dealt.repartition(buckets, "block").write.format("parquet").option("path", folder)
     writer.bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
     blocks = spark.table(name)
-    routes = materialise(blocks.select(F.col("left").alias(left), F.col("block").alias("to_block")).distinct().repartition(parts, left))
-    return Layout(blocks, routes, left, right, split, name)
+    routes, routed = write_scratch(blocks.select(F.col("left").alias(left), F.col("block").alias("to_block")).distinct(), "routes")
+    columns = (max(ROUTED_LEAST, ROUTED_PER_PAIR * total) // max(routes.count(), 1) - 24) // 8
+    return Layout(blocks, routes, left, right, split, name, (folder, routed), max(1, columns))
+
+
+def forget(layout: Layout) -> None:
+    """Remove the table of a layout and its files."""
+    spark = layout.blocks.sparkSession
+    spark.sql(f"DROP TABLE {layout.table}")
+    discard(spark, *layout.folders)
+
+
+def multiply(layout: Layout, vectors: DataFrame, width: int) -> tuple[DataFrame, list[str]]:
+    """``product``, written, and the folders that it lies in: as many columns at a time as the layout says."""
+    spark, made, folders = vectors.sparkSession, [], []
+    for first in range(0, width, layout.columns):
+        names = _names(width)[first : first + layout.columns]
+        part = product(layout, vectors.select(layout.left, *[F.col(n).alias(m) for n, m in zip(names, _names(len(names)))]), len(names))
+        part = part.select(layout.right, *[F.col(m).alias(n) for n, m in zip(names, _names(len(names)))])
+        rows, folder = write_scratch(part, "product", plain=True)
+        made.append(rows)
+        folders.append(folder)
+        if len(names) < width:
+            discard(spark)
+    if len(made) == 1:
+        return made[0], folders
+    whole, folder = write_scratch(reduce(lambda a, b: a.join(b, layout.right), made), "vectors", plain=True)
+    discard(spark, *folders)
+    return whole, [folder]
 
 
 def product(layout: Layout, vectors: DataFrame, width: int) -> DataFrame:
@@ -150,34 +186,43 @@ def item_factors(
 ) -> DataFrame:
     """``article_id, embedding array<double>``: left singular vectors times singular values. Pairs with a null in
     any column do not count."""
-    pairs = materialise(
+    spark = pairs.sparkSession
+    pairs, paired = write_scratch(
         pairs.select(
             F.col("user_id").cast("string").alias("user_id"),
             F.col("article_id").cast("string").alias("article_id"),
             F.col("weight").cast("double").alias("weight"),
-        ).dropna()
+        ).dropna(),
+        "pairs",
     )
+    discard(spark)
     shape = pairs.agg(F.count_distinct("article_id").alias("i"), F.count_distinct("user_id").alias("u"), F.count(F.lit(1)).alias("n")).first()
     n = component_count(shape["i"], shape["u"], components)
     width = min(n + OVERSAMPLES, min(shape["i"], shape["u"]))
     width = max(width, 1)
     n = min(n, width)
 
-    by_user = lay_out(pairs, "article_id", "user_id", shape["n"], pairs_per_block)
-    by_item = lay_out(pairs, "user_id", "article_id", shape["n"], pairs_per_block)
     # Random signs from the bits of seeded hashes of the user, so the start block needs no join and no storage.
     h = [F.xxhash64(F.lit(seed + i), F.col("user_id")) for i in range(-(-width // 64))]
     signs = [F.when(F.shiftright(h[j // 64], j % 64).bitwiseAND(F.lit(1)) == 1, F.col("weight")).otherwise(-F.col("weight")) for j in range(width)]
-    items = materialise(pairs.groupBy("article_id").agg(*[F.sum(s).alias(f"f{j}") for j, s in enumerate(signs)]))
+    items, folder = write_scratch(pairs.groupBy("article_id").agg(*[F.sum(s).alias(f"f{j}") for j, s in enumerate(signs)]), "start", plain=True)
+    mine = [folder]
+    by_user = lay_out(pairs, "article_id", "user_id", shape["n"], pairs_per_block)
+    by_item = lay_out(pairs, "user_id", "article_id", shape["n"], pairs_per_block)
+    discard(spark, paired)
     for _ in range(power_steps):
         basis = _rotate(items, "article_id", _whiten(_gram(items, width)))
-        users = materialise(product(by_user, basis, width))
-        items = materialise(product(by_item, users, width))
+        users, theirs = multiply(by_user, basis, width)
+        discard(spark, *mine)
+        items, mine = multiply(by_item, users, width)
+        discard(spark, *theirs)
+    # The rows returned are made from the last items, which stay.
     basis = _rotate(items, "article_id", _whiten(_gram(items, width)))
-    users = materialise(product(by_user, basis, width))
-    for layout in (by_user, by_item):
-        pairs.sparkSession.sql(f"DROP TABLE {layout.table}")
+    forget(by_item)
+    users, theirs = multiply(by_user, basis, width)
     values, vectors = np.linalg.eigh(_gram(users, width))
+    forget(by_user)
+    discard(spark, *theirs)
     top = np.argsort(values)[::-1][:n]
     turn = vectors[:, top] * np.sqrt(np.maximum(values[top], 0.0))
     wide = _rotate(basis, "article_id", turn)

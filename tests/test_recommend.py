@@ -1,3 +1,4 @@
+import os
 import math
 import random
 
@@ -388,3 +389,25 @@ def test_sql_needs_no_jars():
 
     load()
     assert len(STOP_WORDS) == 181 and "'ourselves'" in ORACLES["tfidf"] and "LIMIT 20000" not in ORACLES["tfidf"]
+
+
+def test_factor_products_send_some_columns_at_a_time_and_leave_no_files(spark, rows, tmp_path, monkeypatch):
+    """Columns sent one at a time give the same product; work files go but for the last vectors."""
+    rng = np.random.default_rng(5)
+    data = sorted({(f"u{rng.integers(30)}", f"i{rng.integers(20)}") for _ in range(200)})
+    pairs = rows([(u, i, 1.0) for u, i in data], PAIRS + ", weight double")
+    vectors = {u: rng.normal(size=3) for u, _ in data}
+    monkeypatch.setattr(factors, "ROUTED_LEAST", 1)
+    monkeypatch.setattr(factors, "ROUTED_PER_PAIR", 1)
+    before = {t.name for t in spark.catalog.listTables()}
+    layout = factors.lay_out(pairs, "user_id", "article_id", len(data))
+    assert layout.columns == 1
+    made, folders = factors.multiply(layout, rows([(u, *map(float, v)) for u, v in vectors.items()], "user_id string, f0 double, f1 double, f2 double"), 3)
+    want = {}
+    for u, i in data:
+        want[i] = want.get(i, 0) + vectors[u]
+    got = {r["article_id"]: [r["f0"], r["f1"], r["f2"]] for r in made.collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
+    assert len(folders) == 1 and os.path.isdir(folders[0])
+    factors.forget(layout)
+    assert not any(os.path.exists(f) for f in layout.folders) and {t.name for t in spark.catalog.listTables()} == before
