@@ -411,3 +411,19 @@ def test_factor_products_send_some_columns_at_a_time_and_leave_no_files(spark, r
     assert len(folders) == 1 and os.path.isdir(folders[0])
     factors.forget(layout)
     assert not any(os.path.exists(f) for f in layout.folders) and {t.name for t in spark.catalog.listTables()} == before
+
+
+@pytest.mark.parametrize("asked", [None, ["b7", "b2", "c0"]])
+def test_copies_of_a_text_are_searched_once(spark, rows, monkeypatch, asked):
+    """Copies get the lists that a search among all rows gives, and only one of them is searched."""
+    texts = {"a": "red bolt", "b": "red ring large", "c": "blue ring", "d": "blue bolt large ring"}
+    docs = rows([(f"{t}{i}", words) for t, words in texts.items() for i in range(9 if t == "b" else 3)], "article_id string, text string")
+    packed = materialise(terms.tfidf_rows(docs)[0])
+    seeds = None if asked is None else rows([(a,) for a in asked], "article_id string")
+    size = []
+    search = neighbours._search_texts
+    monkeypatch.setattr(neighbours, "_search_texts", lambda packed, *rest: size.append(packed.count()) or search(packed, *rest))
+    show = lambda df: sorted((r["seed_id"], r["rank"], r["article_id"], round(r["similarity"], 9)) for r in df.collect())
+    want = show(search(packed, seeds, 5, None, neighbours.TEXT_PIVOTS, neighbours.CLUSTER_ROWS))
+    assert show(neighbours.sparse_neighbours(packed, seeds, 5)) == want and size == [4]
+    assert len(want) == 5 * (18 if asked is None else 3)
