@@ -19,6 +19,8 @@ from clickloom.functions.text import tokens
 from clickloom.session import spread, use_all_cores
 
 BATCH = 64
+# Rows whose tokens are added up at once, and rows of a part that goes to a model.
+ROWS_AT_ONCE, ROWS_PER_PART = 512, 2_000
 Encoder = Callable[[list[str]], np.ndarray]
 
 
@@ -29,13 +31,14 @@ def hashed_vectors(df: DataFrame, text: str, dim: int = DIMENSION) -> DataFrame:
     """``text`` replaced by signed hashed token counts scaled to length one; null for null. Stands in
     where no model is installed.
 
-    Tokens are cut out by Spark; each batch digests its distinct tokens once and adds up all its rows at a time.
+    Tokens are cut out by Spark; each slice of a batch digests its distinct tokens once and adds up all its rows at a
+    time, so a worker holds little besides the batch.
     """
     keep = [f for f in df.schema.fields if f.name not in (text, "embedding")]
     schema = T.StructType(keep + [T.StructField("embedding", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             missing = batch.column(text).is_null()
             words = pc.fill_null(batch.column(text), pa.scalar([], pa.list_(pa.string())))
             row = pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
@@ -70,7 +73,7 @@ def encode(df: DataFrame, text: str, make_encoder: Callable[[], Encoder] | None
 
     model = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch)
     rows = df.select(*keep, F.coalesce(text, F.lit("")).alias(text))
-    rows = spread(rows, *keep, rows=df.count()).sortWithinPartitions(F.length(text))
+    rows = spread(rows, *keep, rows=df.count(), rows_per_part=ROWS_PER_PART).sortWithinPartitions(F.length(text))
     return rows.select(*keep, model(F.col(text)).alias("embedding"))
 
 

@@ -212,3 +212,18 @@ def test_a_folder_of_part_files_counts_as_one_file(spark, tmp_path):
         assert (made["rows"], made["files"]) == (30, 1)
     parts = spark.read.parquet(f"{tmp_path}/many.parquet", f"{tmp_path}/plain")
     assert reports.source_files(parts).first()["files"] == 2
+
+
+def test_default_encoder_takes_slices_of_a_batch(spark, monkeypatch):
+    """Slices of a batch, with nulls in them, give what each row gives by itself."""
+    texts = [None if i % 7 == 3 else " ".join(f"w{j}" for j in range(i % 5)) for i in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").coalesce(1)
+    show = lambda made: {r["id"]: r["embedding"] for r in made.collect()}
+    alone = show(encoding.hashed_vectors(df.repartition(60, "id"), "text"))
+    monkeypatch.setattr(encoding, "use_all_cores", lambda d: d)
+    monkeypatch.setattr(encoding, "ROWS_AT_ONCE", 8)
+    assert show(encoding.hashed_vectors(df, "text")) == alone
+    assert sorted(i for i, v in alone.items() if v is None) == [i for i, t in enumerate(texts) if t is None]
+    made = encoding.encode(spark.range(5000).selectExpr("id", "'ab' AS text"), "text", lambda: lambda t: [[1.0]] * len(t))
+    most = made.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    assert most < 2 * encoding.ROWS_PER_PART
