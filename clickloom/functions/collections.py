@@ -61,16 +61,25 @@ def _place(name: Column, order: list[str]) -> Column:
     return F.when(found > 0, found).otherwise(F.lit(len(order) + 1).cast("bigint"))
 
 
-def top_key(counts: Column, order: list[str] = CATEGORIES) -> Column:
-    """Key with the largest count; ties by ``order``, then by name. Nothing counted gives 'unknown'."""
+def _largest(counts: Column, order: list[str]) -> Column:
     entries = F.transform(
         F.map_entries(counts),
         lambda e: F.struct((-e["value"]).alias("neg"), _place(e["key"], order).alias("pos"), e["key"].alias("key")),
     )
-    best = F.array_min(entries)
+    return F.array_min(entries)
+
+
+def top_key(counts: Column, order: list[str] = CATEGORIES) -> Column:
+    """Key with the largest count; ties by ``order``, then by name. Nothing counted gives 'unknown'."""
+    best = _largest(counts, order)
     return F.when(best["neg"] < 0, best["key"]).otherwise(F.lit("unknown"))
 
 
+def first_key(counts: Column, order: list[str] = CATEGORIES) -> Column:
+    """As ``top_key``, but where nothing is counted the keys tie at zero. An empty map gives null."""
+    return _largest(counts, order)["key"]
+
+
 def top_column(names: list[str]) -> Column:
     """Name of the largest count column; ties by the given order, no counts gives 'unknown'."""
     best = F.array_min(
