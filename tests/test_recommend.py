@@ -427,3 +427,31 @@ def test_copies_of_a_text_are_searched_once(spark, rows, monkeypatch, asked):
     want = show(search(packed, seeds, 5, None, neighbours.TEXT_PIVOTS, neighbours.CLUSTER_ROWS))
     assert show(neighbours.sparse_neighbours(packed, seeds, 5)) == want and size == [4]
     assert len(want) == 5 * (18 if asked is None else 3)
+
+
+@pytest.mark.parametrize("common", [1, 4, 1000])
+def test_tfidf_joins_rare_terms_and_articles_of_several_texts(spark, monkeypatch, common):
+    monkeypatch.setattr(terms, "COMMON_TERMS", common)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(30)]
+    texts = [(f"d{i}", " ".join(rng.choices(words, weights=range(1, 31), k=rng.randrange(1, 25)))) for i in range(20)] + [("none", None), ("d3", "w1 w1 unique"), ("stop", "the of")]
+    docs = spark.createDataFrame(texts, "article_id string, text string").repartition(3)
+    joined = {d: " ".join(t or "" for e, t in texts if e == d) for d, _ in texts}
+    df = {w: sum(w in t.split() for t in joined.values()) for t in joined.values() for w in t.split()}
+    want = {}
+    for d, text in joined.items():
+        raw = {w: text.split().count(w) * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for w in text.split() if w not in ("the", "of")}
+        want |= {(d, w): x / math.sqrt(sum(y * y for y in raw.values())) for w, x in raw.items()}
+    got = {(r["article_id"], r["term"]): r["weight"] for r in terms.tfidf(docs).collect()}
+    assert got == pytest.approx(want)
+    rows, vocabulary = terms.tfidf_rows(docs)
+    names = {r["ix"]: r["term"] for r in vocabulary.collect()}
+    packed = rows.collect()
+    assert all(list(r["terms"]) == sorted(r["terms"]) for r in packed)
+    assert {(r["article_id"], names[t]): w for r in packed for t, w in zip(r["terms"], r["weights"])} == pytest.approx(want)
+
+
+def test_common_terms_are_weighted_without_a_shuffle(rows):
+    docs = rows([("a", "alpha beta beta"), ("b", "beta gamma")], "article_id string, text string")
+    plan = terms.tfidf(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
