@@ -455,3 +455,21 @@ def test_common_terms_are_weighted_without_a_shuffle(rows):
     docs = rows([("a", "alpha beta beta"), ("b", "beta gamma")], "article_id string, text string")
     plan = terms.tfidf(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_few_seeds_meet_all_rows_where_these_lie(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(40)]
+    texts = [(f"d{i:03d}", " ".join(rng.choices(words, k=rng.randrange(1, 12)))) for i in range(150)] + [(f"c{i}", "w1 w2") for i in range(30)]
+    packed = materialise(terms.tfidf_rows(spark.createDataFrame(texts, "article_id string, text string").repartition(3))[0])
+    everything = collected(neighbours.sparse_neighbours(packed, k=5))
+    few = spark.createDataFrame([("d001",), ("c7",), ("d001",), ("absent",)], "article_id string")
+
+    def refuse(*_):
+        raise AssertionError("rows were dealt into blocks")
+
+    monkeypatch.setattr(neighbours, "_score_blocks", refuse)
+    monkeypatch.setattr(neighbours, "MIN_ROWS", 16)
+    got = collected(neighbours.sparse_neighbours(packed, few, k=5, cluster_rows=20))
+    assert got == {d: everything[d] for d in ("d001", "c7")} and [e for e, _ in got["c7"]] == ["c0", "c1", "c10", "c11", "c12"]
+    assert neighbours.sparse_neighbours(packed, few.where("article_id = 'absent'"), k=5, cluster_rows=20).isEmpty()
