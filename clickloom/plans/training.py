@@ -31,8 +31,8 @@ class Split:
 
 def split_interactions(interactions: DataFrame, test_share: float = 0.2, seed: int = 42) -> Split:
     """A repeatable split with exact sizes. ``interactions`` rows are distinct."""
-    rows = require_rows(materialise(interactions), "interactions")
-    marked = split_exact(rows, [F.col(c) for c in ("user_id", "article_id", "timestamp", "source")], test_share, seed)
+    marked = split_exact(interactions, [F.col(c) for c in ("user_id", "article_id", "timestamp", "source")], test_share, seed)
+    require_rows(marked, "interactions")
     return Split(marked.where(~F.col("is_test")).drop("is_test"), marked.where("is_test").drop("is_test"))
 
 

@@ -132,6 +132,18 @@ def test_exact_split_is_disjoint_complete_and_repeatable(spark, n):
     assert len(a) == n and a == b and sum(a.values()) == -(-n // 5)
 
 
+def test_exact_split_compares_beginnings_and_settles_ties(spark, monkeypatch):
+    df = spark.range(500).select(F.col("id").cast("string").alias("k"))
+    want = {r["k"] for r in ordering.split_exact(df, [F.col("k")]).where("is_test").collect()}
+    hashes = sorted((r["h"], r["k"]) for r in df.select("k", ordering.seeded_hash(42, F.col("k")).alias("h")).collect())
+    assert want == {k for _, k in hashes[:100]}
+    monkeypatch.setattr(ordering, "HASH_BITS", 4)  # many rows tie
+    split = ordering.split_exact(df, [F.col("k")])
+    assert {r["k"] for r in split.where("is_test").collect()} == want
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "_start" in plan and "RDD" not in plan and split.columns == ["k", "is_test"]
+
+
 def test_hash_split_share(spark):
     got = ordering.split_by_hash(spark.range(5000), [F.col("id")]).where("is_test").count()
     assert 850 < got < 1150
