@@ -473,3 +473,16 @@ def test_few_seeds_meet_all_rows_where_these_lie(spark, monkeypatch):
     got = collected(neighbours.sparse_neighbours(packed, few, k=5, cluster_rows=20))
     assert got == {d: everything[d] for d in ("d001", "c7")} and [e for e, _ in got["c7"]] == ["c0", "c1", "c10", "c11", "c12"]
     assert neighbours.sparse_neighbours(packed, few.where("article_id = 'absent'"), k=5, cluster_rows=20).isEmpty()
+
+
+def test_text_knn_asks_for_every_document(spark):
+    """Every document that has a term is a seed, whatever its id; the SQL asks for them all, too."""
+    from clickloom import registered
+    from clickloom.registered import tables
+
+    registered.load()
+    sf = "/root/testdata/sf0.001"
+    with_terms = {r[0] for r in terms.tfidf(tables.document_texts(spark, sf)).select("article_id").distinct().collect()}
+    seeds = {r[0] for r in registered.QUERIES["text_knn"](spark, sf).select("seed_id").distinct().collect()}
+    assert seeds == with_terms and len(seeds) > 150
+    assert "% 20" not in registered.ORACLES["text_knn"]
