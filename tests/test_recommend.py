@@ -486,3 +486,24 @@ def test_text_knn_asks_for_every_document(spark):
     seeds = {r[0] for r in registered.QUERIES["text_knn"](spark, sf).select("seed_id").distinct().collect()}
     assert seeds == with_terms and len(seeds) > 150
     assert "% 20" not in registered.ORACLES["text_knn"]
+
+
+def test_text_search_sends_seeds_in_turns_and_keeps_only_the_lists(spark, tmp_path, monkeypatch):
+    """Whatever number of clusters the seeds must visit, a round sends no more of them than the table has rows."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(30)]
+    texts = [(f"d{i:03d}", " ".join(rng.choices(words, k=rng.randrange(1, 9)))) for i in range(240)] + [(f"c{i}", "w1 w2") for i in range(9)]
+    docs = spark.createDataFrame(texts, "article_id string, text string").repartition(3)
+    want = collected(neighbours.sparse_neighbours(terms.tfidf_rows(docs)[0], k=5))
+    sent, made, before = [], [], []
+    score, write = neighbours._score_blocks, neighbours.write_scratch
+    monkeypatch.setattr(neighbours, "_score_blocks", lambda items, visits, *rest: sent.append(visits.count()) or score(items, visits, *rest))
+    monkeypatch.setattr(neighbours, "write_scratch", lambda *a, **b: before.append(write(*a, **b)) or before[-1])
+    monkeypatch.setattr(neighbours, "ROUND_BYTES", 1, raising=False)
+    rows = terms.tfidf_rows(docs, made=made)[0]
+    got = neighbours.sparse_neighbours(rows, k=5, chunk_rows=2048, cluster_rows=20, used=made)
+    assert collected(got) == want
+    # Seeds are dealt to rounds by hash, so these differ somewhat in size.
+    assert len(sent) > 3 and sum(sent) > 3 * 240 and max(sent) < 1.5 * 240
+    kept = {os.path.basename(f).split("-")[0] for _, f in before if os.path.isdir(f)}
+    assert kept == {"lists"} and len(made) == 2 and not any(os.path.isdir(f) for f in made)
