@@ -1,9 +1,9 @@
 """Latent item factors: randomised truncated SVD of the item x user weight matrix.
 
 The matrix stays in long form (``user_id, article_id, weight``). Each half step multiplies it by a block of
-vectors. The pairs are dealt into blocks twice, once by article and once by user, and then stay where they lie: a
-half step sends each vector to the blocks that hold pairs of its id, some columns at a time, so that what is on
-the disk at once stays in proportion to the pairs. Only width x width Gram matrices (a few thousand numbers) reach
+vectors. The pairs are dealt into blocks twice, once by article and once by user, packed into arrays of positions and
+weights, and then stay where they lie: a half step sends each vector, as bytes, to its place in the blocks that hold
+pairs of its id, some columns at a time, so that what is on the disk at once stays in proportion to the pairs. Only width x width Gram matrices (a few thousand numbers) reach
 the driver.
 """
 
@@ -17,7 +17,6 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.session import discard, materialise, work_path, write_scratch
@@ -80,11 +79,14 @@ def _whiten(gram: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Layout:
-    """The pairs in blocks (``block, left, right, weight``) and the blocks that each left id is needed in (``to_block``).
+    """The pairs in blocks and the blocks, and places there, that each left id is needed in (``routes``: id, ``to``).
 
-    The blocks lie in the work folder as a table bucketed by block, so a join by block does not move them. So many
-    ``columns`` of the vectors are sent at a time."""
+    ``packs`` has one row for each block: the ids ``left`` and ``right``, and for all pairs, by right id, the place of
+    the left id (``at``) and ``weight``, up to ``ends``. They lie in the work folder as a table bucketed by block, so a
+    join by block does not move them. ``blocks`` shows which right ids are in a block. So many ``columns`` of the
+    vectors are sent at a time."""
 
+    packs: DataFrame
     blocks: DataFrame
     routes: DataFrame
     left: str
@@ -95,6 +97,26 @@ class Layout:
     columns: int
 
 
+_PACK = "block int, left array<string>, right array<string>, ends binary, at binary, weight binary"
+
+
+def _pack(pairs: pa.Table) -> pa.Table:
+    """One block as a row of lists and arrays."""
+    lefts = pairs.column("left").combine_chunks().dictionary_encode()
+    rights = pairs.column("right").combine_chunks().dictionary_encode()
+    codes = rights.indices.to_numpy()
+    order = np.argsort(codes, kind="stable")
+    row = {
+        "block": pairs.column("block")[:1].cast(pa.int32()),
+        "left": pa.array([lefts.dictionary], pa.list_(pa.string())),
+        "right": pa.array([rights.dictionary], pa.list_(pa.string())),
+        "ends": pa.array([np.cumsum(np.bincount(codes)).astype(np.int64).tobytes()], pa.binary()),
+        "at": pa.array([lefts.indices.to_numpy()[order].astype(np.int32).tobytes()], pa.binary()),
+        "weight": pa.array([pairs.column("weight").to_numpy()[order].tobytes()], pa.binary()),
+    }
+    return pa.table(row)
+
+
 def lay_out(pairs: DataFrame, left: str, right: str, total: int, pairs_per_block: int = PAIRS_PER_BLOCK) -> Layout:
     """Deal ``pairs`` once into blocks of about ``pairs_per_block``, the pairs of one ``right`` id together.
 
@@ -114,12 +136,16 @@ def lay_out(pairs: DataFrame, left: str, right: str, total: int, pairs_per_block
     name = f"pairs_by_{right}_{uuid.uuid4().hex}"
     buckets = min(parts, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     folder = work_path(spark, name)
-    writer = dealt.repartition(buckets, "block").write.format("parquet").option("path", folder)
+    writer = dealt.repartition(buckets, "block").groupBy("block").applyInArrow(_pack, _PACK).write.format("parquet").option("path", folder)
     writer.bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
-    blocks = spark.table(name)
-    routes, routed = write_scratch(blocks.select(F.col("left").alias(left), F.col("block").alias("to_block")).distinct(), "routes")
-    columns = (max(ROUTED_LEAST, ROUTED_PER_PAIR * total) // max(routes.count(), 1) - 24) // 8
-    return Layout(blocks, routes, left, right, split, name, (folder, routed), max(1, columns))
+    packs = spark.table(name)
+    # An id has one row, with a place for each block that needs it: as many as there are blocks at most.
+    places = packs.select(F.col("block").alias("to_block"), F.posexplode("left").alias("place", left))
+    routes, routed = write_scratch(places.groupBy(left).agg(F.collect_list(F.struct("to_block", "place")).alias("to")), "routes")
+    sent = routes.agg(F.sum(F.size("to"))).first()[0] or 0
+    columns = (max(ROUTED_LEAST, ROUTED_PER_PAIR * total) // max(sent, 1) - 24) // 8
+    blocks = packs.select("block", F.explode("right").alias("right"))
+    return Layout(packs, blocks, routes, left, right, split, name, (folder, routed), max(1, columns))
 
 
 def forget(layout: Layout) -> None:
@@ -148,23 +174,45 @@ def multiply(layout: Layout, vectors: DataFrame, width: int) -> tuple[DataFrame,
     return whole, [folder]
 
 
+def _as_bytes(names: list[str]):
+    """mapInArrow body: the id and the vector as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * rows.itemsize * len(names)
+            made = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(rows)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), made], [batch.schema.names[0], "vector"])
+
+    return run
+
+
+def _vectors(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    parts = [np.zeros((0, width))]
+    for chunk in column.chunks:
+        if len(chunk):
+            ends = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+            parts.append(np.frombuffer(chunk.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.float64).reshape(-1, width))
+    return np.concatenate(parts)
+
+
 def product(layout: Layout, vectors: DataFrame, width: int) -> DataFrame:
     """``right``-keyed block = matrix (or its transpose) times the ``left``-keyed block ``vectors``.
 
     Every vector goes once to each block that has pairs of its id. The pairs stay where they lie.
     """
     names, right = _names(width), layout.right
-    routed = vectors.join(layout.routes, layout.left).select("to_block", F.col(layout.left).alias("left"), *names)
+    packed = vectors.select(layout.left, *names).mapInArrow(_as_bytes(names), f"{layout.left} string, vector binary")
+    routed = packed.join(layout.routes, layout.left).select("vector", F.inline("to"))
 
     def run(pairs: pa.Table, known: pa.Table) -> pa.Table:
-        matrix = np.column_stack([known.column(n).to_numpy() for n in names]) if known.num_rows else np.zeros((0, width))
-        at = pc.index_in(pairs.column("left"), value_set=known.column("left").combine_chunks())
-        pairs = pairs.append_column("at", at).filter(pc.is_valid(at))
-        keys = pairs.column("right").combine_chunks().dictionary_encode()
-        codes = keys.indices.to_numpy()
-        order = np.argsort(codes, kind="stable")
-        at, weight = pairs.column("at").to_numpy()[order], pairs.column("weight").to_numpy()[order]
-        ends = np.cumsum(np.bincount(codes, minlength=len(keys.dictionary)))
+        if not pairs.num_rows or not known.num_rows:
+            return pa.table([pa.array([], pa.string()), *(pa.array([], pa.float64()) for _ in names)], names=[right, *names])
+        ends, at, weight = (np.frombuffer(pairs.column(c)[0].as_buffer(), kind) for c, kind in (("ends", np.int64), ("at", np.int32), ("weight", np.float64)))
+        place = known.column("place").to_numpy()
+        places = int(max(place.max(), at.max())) + 1
+        matrix, here = np.zeros((places, width)), np.zeros(places, bool)
+        matrix[place], here[place] = _vectors(known.column("vector"), width), True
         out, first = np.zeros((len(ends), width)), 0
         # Some thousand pairs at a time; the ids of one slice are consecutive.
         while first < len(ends):
@@ -174,10 +222,12 @@ def product(layout: Layout, vectors: DataFrame, width: int) -> DataFrame:
             starts = np.concatenate([[0], ends[first : last - 1] - begin])
             out[first:last] = np.add.reduceat(matrix[at[rows]] * weight[rows, None], starts, axis=0)
             first = last
-        return pa.table([keys.dictionary, *(pa.array(out[:, j]) for j in range(width))], names=[right, *names])
+        made = pa.table([pairs.column("right").combine_chunks().flatten(), *(pa.array(out[:, j]) for j in range(width))], names=[right, *names])
+        # An id none of whose vectors came has no row.
+        return made if here.all() else made.filter(pa.array(np.add.reduceat(here[at], np.concatenate([[0], ends[:-1]])) > 0))
 
     schema = f"{right} string, " + ", ".join(f"{n} double" for n in names)
-    made = layout.blocks.groupBy("block").cogroup(routed.groupBy("to_block")).applyInArrow(run, schema)
+    made = layout.packs.select("block", "right", "ends", "at", "weight").groupBy("block").cogroup(routed.groupBy("to_block")).applyInArrow(run, schema)
     return made.groupBy(right).agg(*[F.sum(n).alias(n) for n in names]) if layout.split else made
 
 

@@ -507,3 +507,22 @@ def test_text_search_sends_seeds_in_turns_and_keeps_only_the_lists(spark, tmp_pa
     assert len(sent) > 3 and sum(sent) > 3 * 240 and max(sent) < 1.5 * 240
     kept = {os.path.basename(f).split("-")[0] for _, f in before if os.path.isdir(f)}
     assert kept == {"lists"} and len(made) == 2 and not any(os.path.isdir(f) for f in made)
+
+
+def test_factor_blocks_are_packed_and_ids_without_vectors_left_out(spark, rows):
+    """A block is one row of arrays, which no product parses again; ids of missing vectors do not count."""
+    rng = np.random.default_rng(7)
+    data = sorted({(f"u{rng.integers(50)}", f"i{rng.integers(30)}") for _ in range(300)}) + [("lone", "only")]
+    pairs = rows([(u, i, float(1 + n % 3)) for n, (u, i) in enumerate(data)], PAIRS + ", weight double")
+    vectors = {u: rng.normal(size=2) for u, _ in data if u not in ("lone", "u3", "u4")}
+    layout = factors.lay_out(pairs, "user_id", "article_id", len(data), 40)
+    assert layout.packs.count() == layout.packs.select("block").distinct().count() > 4
+    assert layout.routes.count() == len({u for u, _ in data})
+    made = factors.product(layout, rows([(u, *map(float, v)) for u, v in vectors.items()], "user_id string, f0 double, f1 double"), 2)
+    want = {}
+    for n, (u, i) in enumerate(data):
+        if u in vectors:
+            want[i] = want.get(i, 0) + (1 + n % 3) * vectors[u]
+    got = {r["article_id"]: [r["f0"], r["f1"]] for r in made.collect()}
+    assert "only" not in got and got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
+    factors.forget(layout)
