@@ -526,3 +526,28 @@ def test_factor_blocks_are_packed_and_ids_without_vectors_left_out(spark, rows):
     got = {r["article_id"]: [r["f0"], r["f1"]] for r in made.collect()}
     assert "only" not in got and got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
     factors.forget(layout)
+
+
+def test_dense_blocks_leave_out_what_cannot_reach_the_floor(monkeypatch):
+    """Screened in single precision, tile by tile; values that only double precision tells apart keep their order."""
+    import pandas as pd
+
+    rng = np.random.default_rng(9)
+    monkeypatch.setattr(neighbours, "TILE", 64, raising=False)
+    table = rng.normal(size=(500, 8))
+    table[100:140] = table[100] + np.arange(40)[:, None] * 1e-8 * rng.normal(size=8)  # hardly different
+    table[200:330] = table[200]  # equal
+    table[400] = 0.0
+    norm = np.linalg.norm(table, axis=1, keepdims=True)
+    unit = table / np.where(norm > 0, norm, 1)
+    ids = [f"i{j:03d}" for j in range(500)]
+    floors = np.where(np.arange(500) % 2, -2.0, 0.7)
+    items = pd.DataFrame({"article_id": ids, "u": list(unit)})
+    seeds = pd.DataFrame({"seed_id": ids, "q": list(unit), "q_floor": floors})
+    got = neighbours._dense_block(5)(items, seeds)
+    lists = {s: list(x["article_id"]) for s, x in got.groupby("seed_id")}
+    for j, i in enumerate(ids):
+        sims = unit @ unit[j]
+        order = sorted(range(500), key=lambda e: (-round(sims[e], 9), ids[e]))[:5]
+        assert lists.get(i, []) == [ids[e] for e in order if sims[e] >= floors[j] - neighbours._SLACK], i
+    assert neighbours._dense_block(5)(items[:0], seeds).empty and neighbours._dense_block(5)(items, seeds[:0]).empty
